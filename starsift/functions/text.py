@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 # The patterns decide which characters survive cleaning.
 URL_PATTERN = r"https?://\S+|www\.\S+"
 TAG_PATTERN = r"<[^>]+>"
-# Everything but kept characters, as whole runs: one pass both blanks other
-# characters and collapses the white space around them.
-DROPPED_RUN = r"[^a-z0-9']+"
+# All but a-z, 0-9 and the apostrophe, as ranges: Java matches these several times
+# faster than the negated class.
+DROPPED_RUN = r"[\x00-&(-/:-`{-\x{10FFFF}]+"
 
 
 def clean_text(text: Column) -> Column:
-    """Lower-cased text without URLs and tags, single-spaced; null becomes ''."""
+    """Lower-cased text without URLs and tags, single-spaced; null becomes ''.
+
+    Every run of dropped characters becomes one space: the same text as blanking
+    them and then collapsing white space, in one pass. The URL and tag patterns
+    run only on texts that can match them.
+    """
     lowered = F.lower(F.coalesce(text, F.lit("")))
-    no_urls = F.regexp_replace(lowered, URL_PATTERN, " ")
-    no_tags = F.regexp_replace(no_urls, TAG_PATTERN, " ")
+    may_link = lowered.contains("http") | lowered.contains("www.")
+    no_urls = F.when(may_link, F.regexp_replace(lowered, URL_PATTERN, " ")).otherwise(lowered)
+    no_tags = F.when(no_urls.contains("<"), F.regexp_replace(no_urls, TAG_PATTERN, " ")).otherwise(no_urls)
     return F.trim(F.regexp_replace(no_tags, DROPPED_RUN, " "))
 
 

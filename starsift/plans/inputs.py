@@ -39,8 +39,11 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     body = F.when(e % 107 == 0, None).when(e % 9 == 0, F.concat("text", F.lit(PROMO))).otherwise(F.col("text"))
     day = F.when(e % 109 == 0, "2024-13-99").when(e % 113 == 0, None).otherwise(F.date_format("ts", "yyyy-MM-dd"))
-    events = table(spark, sf_dir, "events").withColumn("doc_id", e % n_docs)
-    return events.join(docs, "doc_id").select(
+    # The join needs this partitioning once neither side fits a broadcast. Before
+    # that it spreads the text work, as the given tables are one file each.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    events = table(spark, sf_dir, "events").withColumn("doc_id", e % n_docs).repartition(width, "doc_id")
+    return events.join(docs.repartition(width, "doc_id"), "doc_id").select(
         e.cast("string").alias("review_id"),
         F.when(e % 10 == 0, F.col("source")).otherwise(F.concat(F.lit("P"), e % 97)).alias("product_id"),
         F.concat(F.lit("R"), u).alias("reviewer_id"),

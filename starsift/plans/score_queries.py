@@ -525,7 +525,7 @@ _MODELS = """models AS (
   SELECT 'sentiment' AS task, product_id AS model_name, avg(CAST(sentiment_label = sentiment_pred AS DOUBLE)) AS f1_macro,
     CAST(NULL AS DOUBLE) AS f1, CAST(NULL AS DOUBLE) AS roc_auc FROM scored GROUP BY product_id
   UNION ALL
-  SELECT 'fraud', product_id, NULL, avg(CAST(label = pred AS DOUBLE)), avg(score) FROM scored GROUP BY product_id)"""
+  SELECT 'fraud', product_id, NULL, avg(CAST(label = pred AS DOUBLE)), max(score) FROM scored GROUP BY product_id)"""
 
 
 def per_product_report(spark, sf):
@@ -534,7 +534,7 @@ def per_product_report(spark, sf):
     hit = F.avg((F.col("sentiment_label") == F.col("sentiment_pred")).cast("double"))
     felt = rows.groupBy(F.col("product_id").alias("model_name")).agg(hit.alias("f1_macro"))
     right = F.avg((F.col("label") == F.col("pred")).cast("double"))
-    judged = rows.groupBy(F.col("product_id").alias("model_name")).agg(right.alias("f1"), F.avg("score").alias("roc_auc"))
+    judged = rows.groupBy(F.col("product_id").alias("model_name")).agg(right.alias("f1"), F.max("score").alias("roc_auc"))
     both = felt.withColumn("task", F.lit(" Sentiment")).unionByName(judged.withColumn("task", F.lit("fraud")), True)
     return stage(both, "models")
 
