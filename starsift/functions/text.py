@@ -44,9 +44,13 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def word_grams(cleaned: Column) -> Column:
-    """Words of at least two characters, followed by their neighbour pairs."""
-    words = F.regexp_extract_all(cleaned, F.lit(r"\w\w+"), F.lit(0))
-    following = F.slice(words, 2, F.greatest(F.size(words), F.lit(1)))
-    pairs = F.zip_with(words, following, lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.concat(words, F.array_compact(pairs))
+def words(cleaned: Column) -> Column:
+    """Words of at least two characters."""
+    return F.regexp_extract_all(cleaned, F.lit(r"\w\w+"), F.lit(0))
+
+
+def with_pairs(word_list: Column) -> Column:
+    """The words, followed by their neighbour pairs. Pass a stored column: it is read three times."""
+    following = F.slice(word_list, 2, F.greatest(F.size(word_list), F.lit(1)))
+    pairs = F.zip_with(word_list, following, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.concat(word_list, F.array_compact(pairs))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starsift.functions.text import word_grams
+from starsift.functions.text import with_pairs, words
 from starsift.staging import stage
 
 # A vocabulary up to this many grams (tens of megabytes) is broadcast; a larger
@@ -20,8 +20,8 @@ BROADCAST_GRAMS = 200_000
 
 def gram_counts(docs: DataFrame, key: str = "review_id", text: str = "review_body_clean") -> DataFrame:
     """(key, gram, tf)."""
-    placed = docs.select(key, text).repartition(key)
-    grams = placed.select(key, F.explode(word_grams(F.col(text))).alias("gram"))
+    placed = docs.select(key, text).repartition(key).select(key, words(F.col(text)).alias("_words"))
+    grams = placed.select(key, F.explode(with_pairs(F.col("_words"))).alias("gram"))
     return grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -62,11 +62,11 @@ def tfidf(
     broadcast. A document's grams are bounded by its own text, so the window
     over them is no larger than the row they came from.
     """
-    words = stage(vocab.select("gram", "idf"), "vocabulary")
+    known = stage(vocab.select("gram", "idf"), "vocabulary")
     if max_features is not None and max_features <= BROADCAST_GRAMS:
-        words = F.broadcast(words)
+        known = F.broadcast(known)
     counts = gram_counts(docs, key, text)
     tf = 1 + F.log("tf") if sublinear else F.col("tf")
-    raw = counts.join(words, "gram").select(key, "gram", "tf", (tf * F.col("idf")).alias("raw"))
+    raw = counts.join(known, "gram").select(key, "gram", "tf", (tf * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, "gram", "tf", (F.col("raw") / norm).alias("weight"))
