@@ -44,7 +44,7 @@ def main() -> None:
     raw_path = f"{out}/raw"
     raw_reviews(spark, folder).write.parquet(raw_path)
     raw = spark.read.parquet(raw_path)
-    timed("batch_etl", lambda: build_tables(raw, f"{out}/tables-{time.time_ns()}"), 2)
+    timed("batch_etl", lambda: build_tables(raw, f"{out}/tables-{time.time_ns()}"), 3)
     release_stages(spark)
     paths = build_tables(raw, f"{out}/tables")
     release_stages(spark)

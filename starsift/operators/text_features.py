@@ -18,11 +18,19 @@ from starsift.staging import stage
 BROADCAST_GRAMS = 200_000
 
 
+def grams_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, gram), one row per occurrence."""
+    listed = docs.select(key, words(F.col(text)).alias("_words"))
+    return listed.select(key, F.explode(with_pairs(F.col("_words"))).alias("gram"))
+
+
+def placed_by_key(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(key, text).repartition(key)
+
+
 def gram_counts(docs: DataFrame, key: str = "review_id", text: str = "review_body_clean") -> DataFrame:
     """(key, gram, tf)."""
-    placed = docs.select(key, text).repartition(key).select(key, words(F.col(text)).alias("_words"))
-    grams = placed.select(key, F.explode(with_pairs(F.col("_words"))).alias("gram"))
-    return grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("tf"))
+    return grams_of(placed_by_key(docs, key, text), key, text).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(
@@ -30,18 +38,24 @@ def vocabulary(
     min_df: int = 10,
     max_df: float = 0.9,
     max_features: int | None = 50_000,
-    key: str = "review_id",
     text: str = "review_body_clean",
 ) -> DataFrame:
     """(gram, df, cf, idf): grams in at least ``min_df`` documents and at most the ``max_df`` share.
 
     Of those the ``max_features`` most frequent, the smaller gram first on ties.
     idf = ln((1 + n) / (1 + df)) + 1.
+
+    A document contributes its grams once in full and once distinct, so both
+    frequencies come from one aggregation by gram and the texts stay in place.
     """
     n = docs.count()
-    stats = gram_counts(docs, key, text).groupBy("gram").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")
+    listed = docs.select(words(F.col(text)).alias("_words")).select(with_pairs(F.col("_words")).alias("_grams"))
+    forms = F.array(
+        F.struct(F.col("_grams").alias("_form"), F.lit(False).alias("_once")),
+        F.struct(F.array_distinct("_grams").alias("_form"), F.lit(True).alias("_once")),
     )
+    each = listed.select(F.inline(forms)).select("_once", F.explode("_form").alias("gram"))
+    stats = each.groupBy("gram").agg(F.count_if("_once").alias("df"), F.count_if(~F.col("_once")).alias("cf"))
     kept = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n)))
     if max_features is not None:
         kept = kept.orderBy(F.desc("cf"), "gram").limit(max_features)
@@ -59,14 +73,17 @@ def tfidf(
     """(key, gram, tf, weight), weights of one document having length 1.
 
     ``max_features`` is the cap the vocabulary was made with; it bounds the
-    broadcast. A document's grams are bounded by its own text, so the window
-    over them is no larger than the row they came from.
+    broadcast, and then unknown grams fall out before they are counted. A
+    document's grams are bounded by its own text, so the window over them is no
+    larger than the row they came from.
     """
     known = stage(vocab.select("gram", "idf"), "vocabulary")
     if max_features is not None and max_features <= BROADCAST_GRAMS:
-        known = F.broadcast(known)
-    counts = gram_counts(docs, key, text)
+        hits = grams_of(placed_by_key(docs, key, text), key, text).join(F.broadcast(known), "gram")
+        counts = hits.groupBy(key, "gram", "idf").agg(F.count(F.lit(1)).alias("tf"))
+    else:
+        counts = gram_counts(docs, key, text).join(known, "gram")
     tf = 1 + F.log("tf") if sublinear else F.col("tf")
-    raw = counts.join(known, "gram").select(key, "gram", "tf", (tf * F.col("idf")).alias("raw"))
+    raw = counts.select(key, "gram", "tf", (tf * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, "gram", "tf", (F.col("raw") / norm).alias("weight"))

@@ -6,8 +6,6 @@ check finishes soon; the rows are always the whole tables.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from starsift.operators import calibration, splits, thresholds, training
@@ -15,7 +13,7 @@ from starsift.operators.serving import model_input
 from starsift.plans.inputs import raw_reviews, scored, staged_labelled
 from starsift.plans.registry import query
 from starsift.schemas import REVIEW_SCHEMA
-from starsift.staging import stage, stage_root
+from starsift.staging import stage, stage_path
 from starsift.streaming import scorer as stream
 
 SMALL_TEXT = training.TextSettings(10, 0.95, 2_000)
@@ -79,8 +77,7 @@ def stand_in_scorer(featured):
 @query("S8 S9 R1-R7")
 def stream_score(spark, sf):
     """The reviews written as JSON lines, drip-fed through the streaming scorer, and read back."""
-    root = stage_root(spark)
-    folder = tempfile.mkdtemp(prefix="stream-", dir=root) if root.startswith("/") else f"{root}/stream-{spark.sparkContext.startTime}"
+    folder = stage_path(spark, "stream")
     source, out, marks = f"{folder}/in", f"{folder}/scored", f"{folder}/marks"
     raw_reviews(spark, sf).select(*REVIEW_SCHEMA.names).repartition(4).write.mode("overwrite").json(source)
     stream.start_scoring(stream.file_source(spark, source, 2), stand_in_scorer, out, marks, "file", once=True)

@@ -132,7 +132,7 @@ def clean_documents(spark, sf):
 
 @query("M1 M2", f"WITH {_DOC_GRAMS}\nSELECT gram, df, cf, round(idf, 6) AS idf FROM vocab", own=True)
 def ngram_vocab(spark, sf):
-    return rounded(text_features.vocabulary(clean_documents(spark, sf), 10, 0.9, 15_000, "doc_id", "t"))
+    return rounded(text_features.vocabulary(clean_documents(spark, sf), 10, 0.9, 15_000, "t"))
 
 
 @query(
@@ -147,7 +147,7 @@ def ngram_vocab(spark, sf):
 )
 def tfidf(spark, sf):
     docs = clean_documents(spark, sf)
-    vocab = text_features.vocabulary(docs, 10, 0.9, 15_000, "doc_id", "t")
+    vocab = text_features.vocabulary(docs, 10, 0.9, 15_000, "t")
     weights = text_features.tfidf(docs, vocab, 15_000, key="doc_id", text="t")
     per_doc = weights.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_grams"),
@@ -170,7 +170,7 @@ def tfidf(spark, sf):
 )
 def tfidf_by_gram(spark, sf):
     docs = clean_documents(spark, sf)
-    vocab = text_features.vocabulary(docs, 10, 0.9, 15_000, "doc_id", "t")
+    vocab = text_features.vocabulary(docs, 10, 0.9, 15_000, "t")
     weights = text_features.tfidf(docs, vocab, 15_000, key="doc_id", text="t")
     per_gram = weights.groupBy("gram").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("weight").alias("weight_sum"), F.max("weight").alias("weight_max")

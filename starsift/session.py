@@ -12,6 +12,7 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Small tables are still worth all cores where rows carry long texts.
     "spark.sql.files.openCostInBytes": "262144",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",

@@ -31,13 +31,18 @@ def stage_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def stage_path(spark: SparkSession, label: str) -> str:
+    """A fresh path under the shared folder, deleted by ``release_stages``."""
+    path = f"{stage_root(spark)}/starsift-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared folder and return a read of it."""
-    spark = df.sparkSession
-    path = f"{stage_root(spark)}/starsift-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = stage_path(df.sparkSession, label)
     df.write.parquet(path)
-    _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release_stages(spark: SparkSession) -> int:
