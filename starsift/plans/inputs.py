@@ -41,7 +41,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.when(e % 109 == 0, "2024-13-99").when(e % 113 == 0, None).otherwise(F.date_format("ts", "yyyy-MM-dd"))
     # The join needs this partitioning once neither side fits a broadcast. Before
     # that it spreads the text work, as the given tables are one file each.
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
     events = table(spark, sf_dir, "events").withColumn("doc_id", e % n_docs).repartition(width, "doc_id")
     return events.join(docs.repartition(width, "doc_id"), "doc_id").select(
         e.cast("string").alias("review_id"),
