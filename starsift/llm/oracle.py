@@ -1,5 +1,146 @@
-"""SQL (DuckDB) for the queries that SQL can state."""
+"""SQL (DuckDB) for the queries that SQL can state.
+
+Left out: packed rows and token ids (the tokenizer), SimHash (no XXH64 in SQL),
+the two fitted models and the pipeline, which contains some of these. Tests compare
+them with brute force, the library, an exact round trip or held-out labels.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from starsift.llm.quality_ledger import POLICIES, rules
+from starsift.llm.secret_scan import BASE_RULES, RULES
+from starsift.llm.url_filter import BLOCK_FROM, DAMPING, ITERATIONS
+
+CONTAMINATION = r"""
+WITH w AS (
+  SELECT doc_id, row_number() OVER () AS rn, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+item_at AS (
+  SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0
+),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS s FROM item_at),
+sizes AS (SELECT DISTINCT k FROM windows),
+doc_at AS (
+  SELECT rn, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w JOIN sizes ON len(w) >= k
+),
+found AS (
+  SELECT rn, i, d.k, item_id FROM (SELECT rn, i, k, array_to_string(w[i : i + k - 1], ' ') AS s FROM doc_at) d
+  JOIN windows x ON x.k = d.k AND x.s = d.s
+),
+hits AS (SELECT rn, count(DISTINCT p) AS n FROM (SELECT rn, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT rn, i, k FROM found)) GROUP BY rn),
+own AS (SELECT rn, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM found WHERE item_id IS NOT NULL GROUP BY rn)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+  coalesce(n, 0) > 0 AS contaminated
+FROM w LEFT JOIN hits USING (rn) LEFT JOIN own USING (rn)
+"""
+
+
+def urls() -> str:
+    """Rules, seeds, and the steps of the propagation one after the other."""
+    steps = [
+        f"""m{i + 1} AS (SELECT kind, host, sum(mass) AS mass FROM (
+  SELECT m.kind, e.b AS host, m.mass * e.w * {DAMPING} AS mass FROM m{i} m JOIN edges e ON e.kind = m.kind AND e.a = m.host
+  UNION ALL SELECT m.kind, m.host, m.mass * {DAMPING} FROM m{i} m ANTI JOIN edges e ON e.kind = m.kind AND e.a = m.host
+  UNION ALL SELECT kind, host, mass * {1 - DAMPING} FROM m0) GROUP BY kind, host)"""
+        for i in range(ITERATIONS)
+    ]
+    return rf"""
+WITH rules(rule, verdict) AS (VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'),
+  ('net/es/', 'block'), ('net/fr/', 'block')),
+p AS (SELECT row_number() OVER () AS rn, page_id, html,
+  translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+hit AS (SELECT rn, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM p JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+    AND starts_with(path, substr(rule, length(split_part(rule, '/', 1)) + 1)) GROUP BY rn),
+judged AS (SELECT p.*, rule, verdict FROM p LEFT JOIN hit USING (rn)),
+links AS (SELECT a, b, count(*) AS n FROM (SELECT host AS a, translate(unnest(regexp_extract_all(html,
+    '(?i)(?:href|src)\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)', 1)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS b FROM p)
+  WHERE a <> '' AND b <> '' AND a <> b GROUP BY a, b),
+edges AS (SELECT 'trust' AS kind, a, b, n / sum(n) OVER (PARTITION BY a) AS w FROM links
+  UNION ALL SELECT 'distrust', b, a, n / sum(n) OVER (PARTITION BY b) FROM links),
+m0 AS (SELECT * FROM (
+  SELECT 'trust' AS kind, host, avg(CASE WHEN verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS mass FROM judged WHERE host <> '' GROUP BY host
+  UNION ALL SELECT 'distrust', host, avg(CASE WHEN verdict = 'block' THEN 1.0 ELSE 0.0 END) FROM judged WHERE host <> '' GROUP BY host) WHERE mass > 0),
+{",".join(steps)},
+t AS (SELECT host, coalesce(sum(mass) FILTER (kind = 'trust'), 0.0) AS trust, coalesce(sum(mass) FILTER (kind = 'distrust'), 0.0) AS distrust
+  FROM m{ITERATIONS} GROUP BY host)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN distrust >= {BLOCK_FROM} AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict,
+  round(coalesce(trust, 0.0), 6) AS trust, round(coalesce(distrust, 0.0), 6) AS distrust
+FROM judged LEFT JOIN t USING (host)
+"""
+
+
+def quality() -> str:
+    """Measurements by lists, rules as written in the ledger."""
+    bits = {r.name: r.bit for r in rules()}
+    fails = {
+        "few_words": "n_words < 10",
+        "repeated_words": "100 * n_repeat_words > 20 * n_words",
+        "short_words": "word_chars < 2 * n_words",
+        "long_words": "word_chars > 20 * n_words",
+        "symbols": "n_symbols > n_words",
+        "repeated_lines": "n_lines >= 4 AND 2 * n_dup_lines > n_lines",
+        "digits": "2 * n_digits > word_chars",
+        "some_symbols": "10 * n_symbols > n_words",
+        "some_repeated_lines": "n_lines >= 4 AND 10 * n_dup_lines > 3 * n_lines",
+    }
+    total = " + ".join(f"CASE WHEN {sql} THEN {1 << bits[name]} ELSE 0 END" for name, sql in fails.items())
+    kept = " AND ".join(f"NOT ({fails[name]})" for name in POLICIES["v1"])
+    return rf"""
+WITH t AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM documents),
+win AS (SELECT rn, i, w[i : i + 4] AS g FROM (SELECT rn, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 5)),
+rep AS (SELECT rn, count(DISTINCT p) AS n FROM (
+  SELECT rn, unnest(range(i, i + 5)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY rn, g) AS c FROM win) WHERE c > 1) GROUP BY rn),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+    len(l) AS n_lines, length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits
+  FROM t LEFT JOIN rep USING (rn))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  {fails["few_words"]} OR {fails["repeated_words"]} AS base_failed, {kept} AS kept, CAST({total} AS BIGINT) AS fail_bits
+FROM m
+"""
+
+
+def secrets() -> str:
+    """Every pattern over every text; positions from the lengths of what lies between matches."""
+    parts = []
+    for rank, r in enumerate(RULES):
+        rx = r.pattern.replace("'", "''")
+        parts.append(
+            f"""SELECT rn, {rank} AS rank, '{r.kind}' AS kind, g[i] AS own,
+  list_sum(list_transform(p[1 : i], x -> length(x))) + coalesce(list_sum(list_transform(m[1 : i - 1], x -> length(x))), 0) AS s, length(m[i]) AS n
+FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT rn, regexp_extract_all(t, '{rx}') AS m,
+  regexp_extract_all(t, '{rx}', {r.group}) AS g, string_split_regex(t, '{rx}') AS p FROM d WHERE regexp_matches(t, '{rx}')))
+WHERE length(g[i]) >= {r.least}"""
+        )
+    count = lambda kind: f"CAST(coalesce(count(*) FILTER (kind = '{kind}'), 0) AS BIGINT) AS n_{kind}"
+    text = "concat(kind, ':', CAST(CAST(s AS BIGINT) AS VARCHAR), ':', CAST(CAST(s + n AS BIGINT) AS VARCHAR))"
+    joined = lambda last: f"coalesce(string_agg({text}, ',' ORDER BY s, rank) FILTER (rank < {last}), '')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({" UNION ALL ".join(parts)})
+SELECT doc_id, {", ".join(count(r.kind) for r in BASE_RULES)}, sha256({joined(len(BASE_RULES))}) AS base_sha256, {joined(len(RULES))} AS spans
+FROM d LEFT JOIN f USING (rn) GROUP BY d.rn, doc_id
+"""
+
+
+SQL: dict[str, str] = {
+    "op1_decontaminate": CONTAMINATION,
+    "op4_url_filter": urls(),
+    "op9_quality_ledger": quality(),
+    "op10_secret_scan": secrets(),
+}

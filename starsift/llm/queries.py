@@ -53,7 +53,8 @@ def op3_bpe_codec(spark, sf):
 
 def op4_url_filter(spark, sf):
     """Verdict on every page."""
-    return url_filter.filter_urls(table(spark, sf, "pages"), URL_RULES)
+    judged = url_filter.filter_urls(table(spark, sf, "pages"), URL_RULES)
+    return judged.withColumns({"trust": F.round("trust", 6), "distrust": F.round("distrust", 6)})
 
 
 def op5_language_id(spark, sf):
