@@ -260,12 +260,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def component_ids(rows: DataFrame, ids: str = "doc_id", fp: str = "fp") -> DataFrame:
-    """(fp, component_id): the smallest id among the rows of all fingerprints that links reach."""
+    """(fp, label, component_id): the smallest fingerprint that links reach, and the smallest id among its rows."""
     smallest = stage(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(ids).alias("least")), "points")
     labels = components(link_forest(smallest))
     joined = smallest.join(labels, "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     heads = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    return joined.join(heads, "label").select("fp", "component_id")
+    return joined.join(heads, "label").select("fp", "label", "component_id")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
@@ -296,8 +296,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     light = stage(rows.select("fp", F.col(key).alias("doc_id"), "row_hash"), "fingerprints")
     groups = stage(component_ids(light), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash")
-    winners = light.join(groups, "fp").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("part"))
-    winners = winners.agg(F.min(order).alias("best")).select("best.doc_id", "best.row_hash").distinct()
+    winners = light.join(groups, "fp").groupBy("label").agg(F.min(order).alias("best"))
+    winners = winners.select("best.doc_id", "best.row_hash").distinct()
     kept = rows.join(winners, (rows[key].eqNullSafe(winners["doc_id"])) & (rows["row_hash"] == winners["row_hash"]), "left_semi")
     return kept.dropDuplicates([key, "row_hash"]).select(*[F.col(f"`{new}`").alias(c) for c, new in own.items()])
 
