@@ -5,7 +5,7 @@ may skip characters, each skipped one weighing ``DECAY``, so an insult with
 inserted or missing characters stays near the plain one. Landmark words span the
 kernel space (Nyström); a linear machine with squared hinge loss is trained on the
 words of labelled sentences, where a toxic document counts through its most toxic
-word only, chosen anew in each round. A document's score is that of its most toxic
+word, chosen anew in each round, and through words that are telling on their own. A document's score is that of its most toxic
 word. Words are scored once for each task, however often they occur.
 """
 
@@ -22,9 +22,13 @@ from starsift.llm.common import map_texts
 
 #: Labelled documents of each class that are learnt from, about.
 FIT_TOXIC, FIT_CLEAN = 1500, 3000
-TOXIC_LANDMARKS, CLEAN_LANDMARKS = 96, 96
+TOXIC_LANDMARKS, CLEAN_LANDMARKS = 128, 128
 #: Different words of clean documents that the machine sees at most, the most frequent first.
 CLEAN_WORDS = 12_000
+#: Clean words closest to the toxic side that join the negatives after each round, at most.
+HARD_WORDS = 2_000
+#: A telling word of that many toxic documents counts as toxic in each of them.
+SURE_DOCUMENTS = 4
 DECAY = 0.5
 #: Offsets of the second and third character of a subsequence.
 GAPS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
@@ -221,27 +225,33 @@ def fit_rows(rows: list[tuple[str, int]]) -> ToxicityModel:
     good = values > 1e-6
     root = vectors[:, good] / np.sqrt(values[good])
     mapped = lambda words: kernel(words, landmarks) @ root
-    negatives = common[:CLEAN_WORDS]
-    negative_rows = mapped(negatives)
-    positive_bags = [bag for bag, y in zip(bags, labels, strict=True) if y and bag]
-    chosen = [max(bag, key=lambda w: (rate(w), w)) for bag in positive_bags]
     column, code, part = subsequences(landmarks)
+    positive_bags = [bag for bag, y in zip(bags, labels, strict=True) if y and bag]
+    vocabulary = sorted(toxic)
+    sure = {w for w in telling if toxic[w] >= SURE_DOCUMENTS}
+    chosen = [{max(bag, key=lambda w: (rate(w), w))} | sure.intersection(bag) for bag in positive_bags]
+    negatives = [w for w in common if w not in sure][:CLEAN_WORDS]
     for _ in range(ROUNDS):
-        kinds = sorted(set(chosen))
-        count = np.array([chosen.count(w) for w in kinds], float)
-        x = np.concatenate([mapped(kinds), negative_rows])
+        count: dict[str, float] = {}
+        for words in chosen:
+            for w in words:
+                count[w] = count.get(w, 0) + 1
+        kinds = sorted(count)
+        x = np.concatenate([mapped(kinds), mapped(negatives)])
         y = np.concatenate([np.ones(len(kinds)), -np.ones(len(negatives))])
-        cost = np.concatenate([count / count.sum(), np.full(len(negatives), 1 / len(negatives))])
+        weight = np.array([count[w] for w in kinds])
+        cost = np.concatenate([weight / weight.sum(), np.full(len(negatives), 1 / len(negatives))])
         weights = squared_hinge(x, y, cost)
         by_landmark = root @ weights[:-1]
         table = np.bincount(code, part * by_landmark[column], 1 << 18)
         model = ToxicityModel(table, float(weights[-1]), 1.0, 0.0, blank.base)
-        vocabulary = sorted({w for bag in positive_bags for w in bag})
         margin = dict(zip(vocabulary, model.margins(vocabulary).tolist(), strict=True))
-        chosen = [max(bag, key=lambda w: (margin[w], w)) for bag in positive_bags]
-    scores = WordScores(model)
-    vocabulary = sorted({w for bag in bags for w in bag})
-    margin = dict(zip(vocabulary, scores.model.margins(vocabulary).tolist(), strict=True))
+        chosen = [{max(bag, key=lambda w: (margin[w], w))} | sure.intersection(bag) for bag in positive_bags]
+        near = model.margins(common)  # clean words on the wrong side join the negatives
+        hard = [common[i] for i in np.argsort(-near, kind="stable")[:HARD_WORDS] if near[i] > -1 and common[i] not in sure]
+        negatives = sorted({*negatives, *hard})
+    vocabulary = sorted({*toxic, *clean})
+    margin = dict(zip(vocabulary, model.margins(vocabulary).tolist(), strict=True))
     best = np.array([max((margin[w] for w in bag), default=-1.0) for bag in bags])
     model.slope, model.shift = sigmoid_fit(best, labels)
     return model

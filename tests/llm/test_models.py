@@ -55,20 +55,21 @@ def test_toxicity_query(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
     scores = np.array([r["score"] for r in held])
     labels = np.array([truth[r["doc_id"]] for r in held])
-    assert auc(scores, labels) > 0.95
-    assert (scores[labels == 0] >= 0.5).mean() < 0.02
+    # A tenth of the toxic documents here, of 352 to learn from, hold no insult at all.
+    assert auc(scores, labels) > 0.9
+    assert (scores[labels == 0] >= 0.5).mean() < 0.06 and (scores[labels == 1] >= 0.5).mean() > 0.85
 
 
 @pytest.fixture(scope="module")
 def insults():
-    rows = [(f"{a} and {b}", 0) for a in CLEAN for b in CLEAN] * 2
+    rows = [(f"{a} and {b}. you are an early bird they said.", 0) for a in CLEAN for b in CLEAN] * 2
     rows += [(f"{a}. you are an {x} they said. {b}", 1) for a in CLEAN[:3] for b in CLEAN[3:] for x in ("idiot", "moron")]
     return toxicity.fit_rows(rows)
 
 
 @pytest.mark.parametrize("word", ["idiot", "IDIOT!", "i.d.i.o.t", "id-iot", "idiiot", "i d i o t", "m*oron"])
 def test_gapped_and_inserted_characters(insults, word):
-    plain, insult = toxicity.WordScores(insults).scores([CLEAN[0], f"what an {word} indeed"])
+    plain, insult = toxicity.WordScores(insults).scores([CLEAN[0], f"the {word} is at home"])
     assert insult > 0.5 > plain
 
 
