@@ -7,7 +7,8 @@ them with brute force, the library, an exact round trip or held-out labels.
 
 from __future__ import annotations
 
-from starsift.llm.quality_ledger import POLICIES, rules
+from starsift.llm.quality_ledger import POLICIES
+from starsift.llm.quality_ledger import RULES as RULES_OF_QUALITY
 from starsift.llm.secret_scan import BASE_RULES, RULES
 from starsift.llm.url_filter import BLOCK_FROM, DAMPING, ITERATIONS
 
@@ -83,18 +84,8 @@ FROM judged LEFT JOIN t USING (host)
 
 def quality() -> str:
     """Measurements by lists, rules as written in the ledger."""
-    bits = {r.name: r.bit for r in rules()}
-    fails = {
-        "few_words": "n_words < 10",
-        "repeated_words": "100 * n_repeat_words > 20 * n_words",
-        "short_words": "word_chars < 2 * n_words",
-        "long_words": "word_chars > 20 * n_words",
-        "symbols": "n_symbols > n_words",
-        "repeated_lines": "n_lines >= 4 AND 2 * n_dup_lines > n_lines",
-        "digits": "2 * n_digits > word_chars",
-        "some_symbols": "10 * n_symbols > n_words",
-        "some_repeated_lines": "n_lines >= 4 AND 10 * n_dup_lines > 3 * n_lines",
-    }
+    bits = {r.name: r.bit for r in RULES_OF_QUALITY}
+    fails = {r.name: r.fails for r in RULES_OF_QUALITY}
     total = " + ".join(f"CASE WHEN {sql} THEN {1 << bits[name]} ELSE 0 END" for name, sql in fails.items())
     kept = " AND ".join(f"NOT ({fails[name]})" for name in POLICIES["v1"])
     return rf"""

@@ -41,7 +41,7 @@ def test_policy_and_ablation(spark, docs_of, odd_texts):
         table = q.ablation(rows, version).collect()
         assert [r["rule"] for r in table] == list(names)
         for r in table:
-            bit = 1 << next(x.bit for x in q.rules() if x.name == r["rule"])
+            bit = 1 << next(x.bit for x in q.RULES if x.name == r["rule"])
             assert r["failed"] == sum(bool(b & bit) for b in bits)
             assert r["only_this"] == sum(b & mask == bit for b in bits)
             assert (r["docs"], r["dropped"]) == (len(bits), sum(bool(b & mask) for b in bits))
