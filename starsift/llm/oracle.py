@@ -91,7 +91,7 @@ def quality() -> str:
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM documents),
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM documents),
 win AS (SELECT rn, i, w[i : i + 4] AS g FROM (SELECT rn, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 5)),
 rep AS (SELECT rn, count(DISTINCT p) AS n FROM (
   SELECT rn, unnest(range(i, i + 5)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY rn, g) AS c FROM win) WHERE c > 1) GROUP BY rn),
@@ -113,7 +113,7 @@ def secrets() -> str:
         rx = r.pattern.replace("'", "''")
         parts.append(
             f"""SELECT rn, {rank} AS rank, '{r.kind}' AS kind, g[i] AS own,
-  list_sum(list_transform(p[1 : i], x -> length(x))) + coalesce(list_sum(list_transform(m[1 : i - 1], x -> length(x))), 0) AS s, length(m[i]) AS n
+  list_sum(list_transform(p[1 : i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0) AS s, length(m[i]) AS n
 FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT rn, regexp_extract_all(t, '{rx}') AS m,
   regexp_extract_all(t, '{rx}', {r.group}) AS g, string_split_regex(t, '{rx}') AS p FROM d WHERE regexp_matches(t, '{rx}')))
 WHERE length(g[i]) >= {r.least}"""
