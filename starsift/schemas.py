@@ -49,22 +49,41 @@ REVIEWER_FEATURES = [
 ]
 PRODUCT_FEATURES = ["product_review_count", "product_avg_rating", "product_pct_5star"]
 
-FEATURE_COLUMNS = (
-    ["review_id", "product_id", "reviewer_id", "star_rating", "verified_purchase"]
-    + ["helpful_votes", "total_votes", "review_headline_clean", "review_body_clean"]
-    + ["body_len", "body_word_count", "exclam_count"]
-    + REVIEWER_FEATURES
-    + PRODUCT_FEATURES
-    + ["dup_in_product", "sentiment_label", "fraud_label", "review_ts", "product_category"]
-)
+# Columns of the feature table, and the numeric ones, in their order.
+FEATURE_COLUMNS = [
+    "review_id",
+    "product_id",
+    "reviewer_id",
+    "star_rating",
+    "verified_purchase",
+    "helpful_votes",
+    "total_votes",
+    "review_headline_clean",
+    "review_body_clean",
+    "body_len",
+    "body_word_count",
+    "exclam_count",
+    *REVIEWER_FEATURES,
+    *PRODUCT_FEATURES,
+    "dup_in_product",
+    "sentiment_label",
+    "fraud_label",
+    "review_ts",
+    "product_category",
+]
 
-NUMERIC_FEATURES = (
-    ["star_rating", "helpful_votes", "total_votes", "verified_purchase_int"]
-    + ["body_len", "body_word_count", "exclam_count"]
-    + REVIEWER_FEATURES
-    + PRODUCT_FEATURES
-    + ["dup_in_product"]
-)
+NUMERIC_FEATURES = [
+    "star_rating",
+    "helpful_votes",
+    "total_votes",
+    "verified_purchase_int",
+    "body_len",
+    "body_word_count",
+    "exclam_count",
+    *REVIEWER_FEATURES,
+    *PRODUCT_FEATURES,
+    "dup_in_product",
+]
 
 # Columns from which the weak label is computed; a model may not see them.
 LABEL_RULE_FEATURES = [
