@@ -13,12 +13,14 @@ RECENT_BATCHES = 5
 def recent_scored(scored: DataFrame, limit: int = 50, batches: int = RECENT_BATCHES) -> DataFrame:
     """The last ``limit`` rows, in arrival order, of the last few batches.
 
-    The five newest batch ids are a table of five rows, so it is broadcast; a
-    batch-partitioned input is pruned to those batches.
+    The ids of the newest batches are read first (``batches`` numbers) and become
+    a filter, so of a batch-partitioned table only those folders are scanned.
+    ``position`` is the place of a row within its batch; without that column the id stands in.
     """
-    newest = scored.select("batch_id").distinct().orderBy(F.desc("batch_id")).limit(batches)
-    latest = scored.join(F.broadcast(newest), "batch_id", "left_semi")
-    return latest.orderBy(F.desc("batch_id"), F.desc("review_id")).limit(limit)
+    newest = scored.select("batch_id").distinct().orderBy(F.desc("batch_id")).limit(batches).collect()
+    latest = scored.where(F.col("batch_id").isin([row["batch_id"] for row in newest]))
+    order = [c for c in ("batch_id", "position", "review_id") if c in scored.columns]
+    return latest.orderBy(*map(F.desc, order)).limit(limit)
 
 
 def product_reviews(scored: DataFrame, limit: int = 20, pool: int = 200) -> DataFrame:
@@ -26,8 +28,9 @@ def product_reviews(scored: DataFrame, limit: int = 20, pool: int = 200) -> Data
 
     Only ``pool`` rows reach the grouping, which bounds every array.
     """
+    order = [c for c in ("batch_id", "position") if c in scored.columns]
     entry = F.struct(
-        "batch_id", "review_id", "reviewer_id", "star_rating", "sentiment", "fraud_proba", "fraud_flag", "review_body"
+        *order, "review_id", "reviewer_id", "star_rating", "sentiment", "fraud_proba", "fraud_flag", "review_body"
     )
     grouped = recent_scored(scored, pool).groupBy("product_id").agg(F.array_sort(F.collect_list(entry)).alias("reviews"))
     return grouped.withColumn("reviews", F.slice("reviews", 1, limit))

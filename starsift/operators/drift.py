@@ -41,17 +41,29 @@ def length_drift(reference: DataFrame, current: DataFrame, text: str = TEXT_COLU
 
 
 def drift_summary(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """One row: row counts, the mean comparison as an array, the length comparison as a struct."""
-    means = mean_drift(reference, current)
-    listed = means.agg(F.array_sort(F.collect_list(F.struct(*means.columns))).alias("m"))
-    lengths = length_drift(reference, current)
-    rows = F.count(F.lit(1))
-    return (
-        reference.agg(rows.alias("row_count_reference"))
-        .withColumn("row_count_current", current.agg(rows.alias("n")).scalar())
-        .withColumn("numeric_mean_comparison", listed.scalar())
-        .withColumn("text_length_summary", lengths.select(F.struct(*lengths.columns).alias("s")).scalar())
-    )
+    """One row: row counts, the mean comparison as an array, the length comparison as a struct.
+
+    One aggregation over both sides, grouped by side; the two rows are then put
+    side by side.
+    """
+    reference, current = _with_flag(reference), _with_flag(current)
+    shared = [c for c in NUMERIC_FEATURES if c in reference.columns and c in current.columns]
+    columns = [*[number_or(F.col(c), 0).alias(c) for c in shared], F.length(F.coalesce(F.col(TEXT_COLUMN), F.lit(""))).alias("_length")]
+    sides = reference.select(F.lit(0).alias("_side"), *columns).unionByName(current.select(F.lit(1).alias("_side"), *columns))
+    mean = lambda c, side: F.avg(F.when(F.col("_side") == side, F.col(c)))
+    rows = lambda side: F.count_if(F.col("_side") == side)
+    one = sides.agg(
+        rows(0).alias("row_count_reference"), rows(1).alias("row_count_current"),
+        *[mean(c, side).alias(f"{c}_{side}") for c in [*shared, "_length"] for side in (0, 1)],
+    )
+    pair = lambda c: (F.col(f"{c}_0"), F.col(f"{c}_1"), F.col(f"{c}_1") - F.col(f"{c}_0"))
+    names = ("reference_mean", "current_mean", "mean_delta")
+    compared = [F.struct(F.lit(c).alias("feature"), *[x.alias(n) for x, n in zip(pair(c), names, strict=True)]) for c in shared]
+    lengths = [x.alias(n) for x, n in zip(pair("_length"), ("reference_avg_length", "current_avg_length", "avg_length_delta"), strict=True)]
+    return one.select(
+        "row_count_reference", "row_count_current", F.array_sort(F.array(*compared)).alias("numeric_mean_comparison"),
+        F.struct(*lengths).alias("text_length_summary"),
+    )
 
 
 def decile_edges(reference: DataFrame, column: str, bins: int = 10) -> list[float]:
@@ -67,18 +79,19 @@ def population_stability(
     """Population stability index over the bins that ``edges`` cut.
 
     Sum of (c - r) * ln(c / r) over the bins' row shares, each at least ``epsilon``.
+    Every bin between the edges counts, empty or not; a side without rows has the
+    share ``epsilon`` everywhere.
     """
     bin_of = F.lit(0)
     for edge in edges:
         bin_of = bin_of + F.when(F.col(column) >= float(edge), 1).otherwise(0)
-    rows = F.count(F.lit(1))
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.where(F.col(column).isNotNull()).groupBy(bin_of.alias("bin")).agg(rows.alias(name))
-
-    both = counted(reference, "r").join(counted(current, "c"), "bin", "full").na.fill(0, ["r", "c"])
-    sums = both.agg(F.sum("r").alias("r_all"), F.sum("c").alias("c_all"), F.collect_list(F.struct("r", "c")).alias("bins"))
+    side = lambda df, r, c: df.where(F.col(column).isNotNull()).select(bin_of.alias("bin"), F.lit(r).alias("r"), F.lit(c).alias("c"))
+    every = reference.sparkSession.range(len(edges) + 1).select(F.col("id").cast("int").alias("bin"), F.lit(0).alias("r"), F.lit(0).alias("c"))
+    both = side(reference, 1, 0).unionByName(side(current, 0, 1)).unionByName(every)
+    bins = both.groupBy("bin").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    sums = bins.agg(F.sum("r").alias("r_all"), F.sum("c").alias("c_all"), F.collect_list(F.struct("r", "c")).alias("bins"))
     each = sums.select("r_all", "c_all", F.size("bins").alias("n_bins"), F.inline("bins"))
     floor = F.lit(epsilon)
-    r, c = F.greatest(F.col("r") / F.col("r_all"), floor), F.greatest(F.col("c") / F.col("c_all"), floor)
+    share = lambda n, total: F.greatest(F.coalesce(F.try_divide(F.col(n), F.col(total)), F.lit(0.0)), floor)
+    r, c = share("r", "r_all"), share("c", "c_all")
     return each.agg(F.sum((c - r) * F.log(c / r)).alias("psi"), F.first("n_bins").alias("n_bins"))

@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starsift.functions.coerce import number
 from starsift.functions.text import strip
 from starsift.schemas import CORPUS_SCHEMA, REVIEW_SCHEMA
 
 # Fixed value: longest headline kept.
 HEADLINE_CHARS = 200
 _BAD = "_malformed"
-_PARSE_SCHEMA = T.StructType([*CORPUS_SCHEMA.fields, T.StructField(_BAD, T.StringType())])
+# Every field as text: a number written as text, or a count with a fraction, is no broken line.
+_PARSE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in [*CORPUS_SCHEMA.names, _BAD]])
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -32,9 +34,16 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
     Unusable: undecodable lines; rating, product, user or time missing; no text and no title.
     """
-    record = F.from_json("value", _PARSE_SCHEMA, {"columnNameOfCorruptRecord": _BAD})
-    parsed = lines.withColumn("record", record)
-    return parsed.withColumn("usable", usable(F.col("record")) & F.col(f"record.{_BAD}").isNull())
+    read = F.from_json("value", _PARSE_SCHEMA, {"columnNameOfCorruptRecord": _BAD})
+    numeric = {"rating": "double", "timestamp": "bigint", "helpful_vote": "int"}
+    fields = [
+        number(F.col(f"_read.{f.name}"), numeric[f.name]).alias(f.name) if f.name in numeric
+        else F.col(f"_read.{f.name}").try_cast(f.dataType).alias(f.name)
+        for f in CORPUS_SCHEMA
+    ]
+    decoded = F.when(F.col("_read").isNotNull() & F.col(f"_read.{_BAD}").isNull(), F.struct(*fields))
+    parsed = lines.withColumn("_read", read).withColumn("record", decoded).drop("_read")
+    return parsed.withColumn("usable", F.coalesce(usable(F.col("record")), F.lit(False)))
 
 
 def usable(record: Column) -> Column:
@@ -59,7 +68,7 @@ def to_review(record: Column, category: Column) -> list[Column]:
         "review_id": F.sha2(identity, 256),
         "product_id": record["asin"],
         "reviewer_id": record["user_id"],
-        "star_rating": F.bround(record["rating"], 0).cast("int"),
+        "star_rating": F.bround(record["rating"], 0).try_cast("int"),
         "helpful_votes": helpful,
         "total_votes": helpful,
         "verified_purchase": F.coalesce(record["verified_purchase"], F.lit(False)),
@@ -82,8 +91,32 @@ def import_corpus(spark: SparkSession, path: str, category: str | None = None, l
     """Reviews from corpus files (JSON lines); ``limit`` > 0 keeps that many."""
     parsed = parse_lines(read_lines(spark, path)).where("usable")
     named = F.lit(category) if category else category_of(F.col("file_name"))
-    reviews = parsed.select(*to_review(F.col("record"), named))
-    return reviews.limit(limit) if limit > 0 else reviews
+    kept = first_rows(parsed, limit) if limit > 0 else parsed
+    return kept.select(*to_review(F.col("record"), named))
+
+
+def first_rows(lines: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows in the order of the partitions, without moving any.
+
+    Rows are counted by partition; partitions before the cut stay whole, the one
+    that is cut keeps its first rows, the others are left out.
+    """
+    numbered = lines.withColumn("_at", F.monotonically_increasing_id())
+    sizes = numbered.groupBy(F.shiftright("_at", 33).alias("part")).agg(F.count(F.lit(1)).alias("n"), F.max("_at").alias("last"))
+    left, cut = limit, None
+    for row in sizes.orderBy("part").toLocalIterator():
+        if row["n"] > left:
+            cut = _nth_of_partition(numbered, row["part"], left)
+            break
+        left -= row["n"]
+    return (numbered if cut is None else numbered.where(F.col("_at") < cut)).drop("_at")
+
+
+def _nth_of_partition(numbered: DataFrame, part: int, n: int) -> int:
+    """The smallest ``_at`` behind the first n rows of a partition; n rows reach one task as single numbers."""
+    own = numbered.where(F.shiftright("_at", 33) == part).select("_at").orderBy("_at").limit(n)
+    last = own.agg(F.max("_at")).first()[0]
+    return (part << 33) if last is None else last + 1
 
 
 def import_counts(spark: SparkSession, path: str) -> DataFrame:

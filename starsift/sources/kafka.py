@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starsift.schemas import REVIEW_SCHEMA
@@ -24,13 +24,17 @@ def kafka_source(spark: SparkSession, servers: str, topic: str = "reviews", offs
     return raw.select(F.col("value").cast("string").alias("value"))
 
 
-def submitted_record(reviews: DataFrame) -> DataFrame:
-    """Complete a submitted review: missing ids, votes, headline, date and time get defaults."""
+def submitted_record(reviews: DataFrame, submitted_at: Column | None = None) -> DataFrame:
+    """Complete a submitted review: missing ids, votes, headline, date and time get defaults.
+
+    ``submitted_at`` is a timestamp, the current time if left out.
+    """
+    at = F.current_timestamp() if submitted_at is None else submitted_at
     lacking = {f.name: F.lit(None).cast(f.dataType) for f in REVIEW_SCHEMA if f.name not in reviews.columns}
     full = reviews.withColumns(lacking) if lacking else reviews
     hexed = F.upper(F.replace(F.uuid(), F.lit("-"), F.lit("")))
 
-    def filled(name: str, default) -> F.Column:
+    def filled(name: str, default) -> Column:
         return F.coalesce(F.nullif(F.col(name), F.lit(type(default)())), F.lit(default))
 
     return full.withColumns(
@@ -40,9 +44,9 @@ def submitted_record(reviews: DataFrame) -> DataFrame:
             "reviewer_id": F.coalesce(F.nullif("reviewer_id", F.lit("")), F.concat(F.lit("R"), F.substring(hexed, 1, 24))),
             **{name: filled(name, default) for name, default in RECORD_DEFAULTS.items()},
             "verified_purchase": F.coalesce("verified_purchase", F.lit(False)),
-            "review_date": F.coalesce("review_date", F.date_format(F.current_date(), "yyyy-MM-dd")),
+            "review_date": F.coalesce("review_date", F.date_format(at, "yyyy-MM-dd")),
             "product_category": F.coalesce("product_category", F.lit(SUBMITTED_CATEGORY)),
-            "event_ts": F.coalesce("event_ts", F.unix_timestamp()),
+            "event_ts": F.coalesce("event_ts", F.unix_seconds(at)),
         }
     ).select(*REVIEW_SCHEMA.names)
 

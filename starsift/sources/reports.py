@@ -6,6 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def one_file(report: DataFrame) -> DataFrame:
+    """The report in one partition, behind a shuffle of its finished rows.
+
+    ``coalesce(1)`` would pull the work above it into that one task as well.
+    """
+    return report.repartition(1)
+
+
 def write_csv_report(report: DataFrame, path: str) -> None:
     """Small table as a single CSV part with a header; nested columns as JSON text."""
     flat = report.select(
@@ -14,12 +22,12 @@ def write_csv_report(report: DataFrame, path: str) -> None:
             for c, dtype in report.dtypes
         ]
     )
-    flat.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    one_file(flat).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_json_report(report: DataFrame, path: str) -> None:
     """Small table as a single JSON-lines part; null fields are kept."""
-    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    one_file(report).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def read_csv_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
