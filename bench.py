@@ -15,21 +15,21 @@ import time
 from starsift.operators import drift, metrics, ranking, rollups, text_features, thresholds
 from starsift.plans.batch import build_tables
 from starsift.plans.inputs import raw_reviews, stand_in_scores
-from starsift.session import build_session
+from starsift.session import SMALL_TABLES, build_session
 from starsift.staging import release_stages
 
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    out = tempfile.mkdtemp(prefix="bench-")
     spark = build_session(
         "starsift-bench",
         f"local[{cpus}]",
         4 * int(cpus),
-        {"spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        {**SMALL_TABLES, "spark.checkpoint.dir": out, "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    out = tempfile.mkdtemp(prefix="bench-")
     seconds: dict[str, float] = {}
 
     def timed(name: str, work, repeat: int = 3) -> None:

@@ -15,8 +15,9 @@ from starsift.functions.chance import uniform
 from starsift.operators.behaviour import behaviour_features, with_group_keys
 from starsift.operators.cleaning import clean_reviews
 from starsift.operators.serving import apply_threshold
+from starsift.operators.splits import with_split
 from starsift.operators.weak_label import label_fraud
-from starsift.staging import stage
+from starsift.staging import stage_once, stage_path, stage_path_once
 
 PROMO = " Must buy!!! <b>Wow</b> https://x.example/a?b=1"
 
@@ -40,10 +41,10 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(e % 107 == 0, None).when(e % 9 == 0, F.concat("text", F.lit(PROMO))).otherwise(F.col("text"))
     day = F.when(e % 109 == 0, "2024-13-99").when(e % 113 == 0, None).otherwise(F.date_format("ts", "yyyy-MM-dd"))
     # The join needs this partitioning once neither side fits a broadcast. Before
-    # that it spreads the text work, as the given tables are one file each.
-    width = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    events = table(spark, sf_dir, "events").withColumn("doc_id", e % n_docs).repartition(width, "doc_id")
-    return events.join(docs.repartition(width, "doc_id"), "doc_id").select(
+    # that it spreads the text work, as the given tables are one file each. Its width
+    # is left to adaptive execution.
+    events = table(spark, sf_dir, "events").withColumn("doc_id", e % n_docs).repartition("doc_id")
+    return events.join(docs.repartition("doc_id"), "doc_id").select(
         e.cast("string").alias("review_id"),
         F.when(e % 10 == 0, F.col("source")).otherwise(F.concat(F.lit("P"), e % 97)).alias("product_id"),
         F.concat(F.lit("R"), u).alias("reviewer_id"),
@@ -187,24 +188,20 @@ INPUT_SQL = ",".join([REVIEWS_SQL, CLEAN_SQL, FEATURE_SQL, SCORE_SQL])
 BASE_COLUMNS = [
     "review_id", "product_id", "reviewer_id", "star_rating", "verified_purchase", "helpful_votes", "total_votes",
     "body_len", "body_word_count", "exclam_count", "sentiment_label", "review_ts", "product_category",
-    "_day", "_body_md5",
+    "_day", "_body_md5", "review_body", "review_headline_clean", "review_body_clean",
 ]
-TEXT_COLUMNS = ["review_headline_clean", "review_body_clean"]
 
 
-def clean_base(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    """Clean reviews with their group keys, staged; texts only where asked for."""
-    keyed = with_group_keys(clean_reviews(raw_reviews(spark, sf_dir)))
-    return stage(keyed.select(*BASE_COLUMNS, *extra), "clean")
+def clean_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean reviews with their group keys: written once for each session and folder, read column-pruned."""
+    build = lambda: with_group_keys(clean_reviews(raw_reviews(spark, sf_dir))).select(*BASE_COLUMNS)
+    return stage_once(spark, "clean", sf_dir, build)
 
 
-def labelled(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    """Reviews with all features and the fraud label."""
-    return label_fraud(behaviour_features(clean_base(spark, sf_dir, *extra)))
-
-
-def staged_labelled(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    return stage(labelled(spark, sf_dir, *extra), "labelled")
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews with all features, the fraud label and the split, written once likewise."""
+    build = lambda: with_split(label_fraud(behaviour_features(clean_base(spark, sf_dir))))
+    return stage_once(spark, "labelled", sf_dir, build)
 
 
 def stand_in_scores(rows: DataFrame) -> DataFrame:
@@ -230,20 +227,30 @@ def stand_in_scores(rows: DataFrame) -> DataFrame:
     )
 
 
-def scored(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    """Labelled reviews with the stand-in scores, staged."""
-    return stage(stand_in_scores(labelled(spark, sf_dir, *extra)), "scored")
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled reviews with the stand-in scores."""
+    return stand_in_scores(labelled(spark, sf_dir))
 
 
 def scored_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored-review rows as the streaming scorer leaves them, 500 events to a batch."""
-    base = clean_base(spark, sf_dir, "review_body")
-    rows = stand_in_scores(label_fraud(behaviour_features(base)))
-    names = F.when(F.col("sentiment_pred") == 0, "negative").when(F.col("sentiment_pred") == 1, "neutral")
-    return rows.select(
-        "review_id", "product_id", "reviewer_id", "star_rating", "review_body",
-        F.col("sentiment_pred").alias("sentiment_label"), names.otherwise("positive").alias("sentiment"),
-        F.col("score").alias("fraud_proba"), F.col("pred").alias("fraud_flag"),
-        F.floor(F.col("review_id").cast("bigint") / 500).alias("batch_id"),
-        F.when(F.col("review_id").cast("bigint") % 3 == 0, "kafka").otherwise("file").alias("source"),
-    )
+    """Scored-review rows as the streaming scorer leaves them: 500 events to a batch, a folder for each batch.
+
+    ``position`` is the place of a row within its batch, in order of arrival.
+    """
+
+    def path_of() -> str:
+        path = stage_path(spark, "scored-batches")
+        rows = scored(spark, sf_dir)
+        event = F.col("review_id").cast("bigint")
+        names = F.when(F.col("sentiment_pred") == 0, "negative").when(F.col("sentiment_pred") == 1, "neutral")
+        shown = rows.select(
+            "review_id", "product_id", "reviewer_id", "star_rating", "review_body",
+            F.col("sentiment_pred").alias("sentiment_label"), names.otherwise("positive").alias("sentiment"),
+            F.col("score").alias("fraud_proba"), F.col("pred").alias("fraud_flag"),
+            F.floor(event / 500).alias("batch_id"), (event % 500).alias("position"),
+            F.when(event % 3 == 0, "kafka").otherwise("file").alias("source"),
+        )
+        shown.repartition("batch_id").write.partitionBy("batch_id").parquet(path)
+        return path
+
+    return stage_path_once(spark, "scored-batches", sf_dir, path_of)

@@ -1,7 +1,8 @@
-"""Queries that fit models or run a stream; SQL cannot state them.
+"""Queries that fit models or run a stream, at the operators' own settings.
 
-Vocabulary and tree limits are smaller here than the operators' defaults, so a
-check finishes soon; the rows are always the whole tables.
+The fitted models have no SQL; what they rest on (vocabulary, weights, scaling,
+splits, metrics) has, in the other modules. Fits are shared within a session:
+the ablation and its summary read one table of scores.
 """
 
 from __future__ import annotations
@@ -10,53 +11,46 @@ from pyspark.sql import functions as F
 
 from starsift.operators import calibration, splits, thresholds, training
 from starsift.operators.serving import model_input
-from starsift.plans.inputs import raw_reviews, scored, staged_labelled
-from starsift.plans.registry import query
+from starsift.plans.inputs import labelled, raw_reviews, scored, sql_clean
+from starsift.plans.registry import query, rounded
 from starsift.schemas import REVIEW_SCHEMA
-from starsift.staging import stage, stage_path
+from starsift.sources import corpus
+from starsift.staging import stage, stage_once, stage_path
 from starsift.streaming import scorer as stream
 
-SMALL_TEXT = training.TextSettings(10, 0.95, 2_000)
-SMALL_PLAIN = training.TextSettings(10, 0.9, 2_000, sublinear=False)
-
 
 def model_parts(spark, sf):
-    rows = model_input(staged_labelled(spark, sf, "review_body_clean"))
-    return splits.train_test(stage(rows, "model-input"))
+    rows = stage_once(spark, "model-input", sf, lambda: splits.with_split(model_input(labelled(spark, sf))))
+    return [rows.where(F.col("split") == part).drop("split") for part in ("train", "test")]
 
 
 @query("M1-M7")
 def train_sentiment(spark, sf):
-    return training.train_sentiment(*model_parts(spark, sf), settings=SMALL_TEXT, max_iter=30)[1]
+    return training.train_sentiment(*model_parts(spark, sf))[1]
 
 
 @query("M5 M8-M10")
 def train_fraud(spark, sf):
-    return training.train_fraud(*model_parts(spark, sf), settings=SMALL_TEXT, max_iter=30)[1]
+    return training.train_fraud(*model_parts(spark, sf))[1]
 
 
 @query("E6 M11-M16")
 def baselines(spark, sf):
-    train, test = model_parts(spark, sf)
-    sentiment = training.sentiment_baselines(train, test, SMALL_PLAIN, max_iter=30)
-    fraud = training.fraud_baselines(train, test, SMALL_PLAIN, max_iter=30, trees=10, max_depth=5)
-    return sentiment.unionByName(fraud, allowMissingColumns=True)
+    return training.baseline_report(*model_parts(spark, sf))
 
 
-def small_ablation(spark, sf):
-    train, test = model_parts(spark, sf)
-    small = training.TextSettings(10, 0.95, 500)
-    return training.ablation(train, test, small, make=lambda: training.boosted_trees(rounds=5))
+def ablation_rows(spark, sf):
+    return stage_once(spark, "ablation", sf, lambda: training.ablation(*model_parts(spark, sf))[0])
 
 
 @query("T6 M17")
 def ablation(spark, sf):
-    return small_ablation(spark, sf)[0]
+    return ablation_rows(spark, sf)
 
 
 @query("T7")
 def ablation_summary(spark, sf):
-    return thresholds.ablation_summary(small_ablation(spark, sf)[0])
+    return thresholds.ablation_summary(ablation_rows(spark, sf))
 
 
 @query("M18 M19 C4")
@@ -66,6 +60,27 @@ def calibrated_report(spark, sf):
     return calibration.calibration_report(stage(variants, "calibrated"), n_calib)
 
 
+@query(
+    "M19",
+    """, pooled AS (SELECT score, avg(CAST(label AS DOUBLE)) AS y, CAST(count(*) AS DOUBLE) AS w FROM (SELECT round(score, 2) AS score, label, part FROM scored) WHERE part = 'calib' GROUP BY score),
+      numbered AS (SELECT *, row_number() OVER (ORDER BY score) AS i, sum(w) OVER (ORDER BY score) AS cw,
+          sum(w * y) OVER (ORDER BY score) AS cy FROM pooled),
+      runs AS (SELECT a.i AS s, b.i AS e, (b.cy - a.cy + a.w * a.y) / (b.cw - a.cw + a.w) AS m FROM numbered a JOIN numbered b ON a.i <= b.i),
+      least_of AS (SELECT s, i, min(m) AS m FROM (SELECT r.s, p.i, r.m FROM runs r JOIN numbered p ON r.s <= p.i AND r.e >= p.i) GROUP BY s, i),
+      fit AS (SELECT p.score, max(m) AS f FROM least_of l JOIN numbered p ON p.i = l.i GROUP BY p.score)
+      SELECT score, round(f, 6) AS calibrated FROM fit""",
+)
+def isotonic_fit(spark, sf):
+    """The fitted isotonic curve at the calibration scores: max over starts of min over ends of means.
+
+    Scores are taken to two digits here, as the SQL compares all runs of them.
+    """
+    rows = scored(spark, sf).where(F.col("part") == "calib").withColumn("score", F.round("score", 2))
+    points = rows.select("score").distinct()
+    fitted = calibration.isotonic_scores(rows.select("score", "label"), points.withColumn("at", F.col("score")))
+    return rounded(fitted.select(F.col("at").alias("score"), F.col("score").alias("calibrated")))
+
+
 def stand_in_scorer(featured):
     """Fixed linear form on the serving features."""
     z = -1.6 + 0.9 * (F.col("star_rating") == 5).cast("int") + 1.3 * (1 - F.col("verified_purchase_int"))
@@ -74,12 +89,85 @@ def stand_in_scorer(featured):
     return featured.withColumns({"sentiment_label": felt, "fraud_proba": proba})
 
 
-@query("S8 S9 R1-R7")
+def loosely_typed(rows, column: str):
+    """JSON lines of the rows, a number now written as text, now with a fraction, now plainly."""
+    turn = F.pmod(F.crc32(F.col("review_id").cast("binary")), F.lit(3))
+    others = [c for c in rows.columns if c != column]
+    shapes = {0: F.col(column).cast("string"), 1: F.col(column).cast("double"), 2: F.col(column)}
+    lines = [rows.where(turn == k).select(F.to_json(F.struct(*others, v.alias(column))).alias("value")) for k, v in shapes.items()]
+    return lines[0].unionByName(lines[1]).unionByName(lines[2])
+
+
+@query(
+    "S1 S8 S9 R1-R7 P19 X5",
+    f""", served AS (SELECT review_id, product_id, star_rating, coalesce(star_rating, 3) AS stars,
+        CAST(coalesce(verified_purchase, false) AS INTEGER) AS verified,
+        least(len(list_filter(string_split({sql_clean("review_body")}, ' '), lambda x: x <> '')), 900) AS words FROM reviews),
+      judged AS (SELECT *, round(1.0 / (1.0 + exp(-(-1.6 + 0.9 * CAST(stars = 5 AS INTEGER) + 1.3 * (1 - verified) + 0.001 * words))), 6) AS p FROM served)
+      SELECT review_id, product_id, coalesce(star_rating, -1) AS star_rating,
+        CASE WHEN stars <= 2 THEN 0 WHEN stars = 3 THEN 1 ELSE 2 END AS sentiment_label,
+        CASE WHEN stars <= 2 THEN 'negative' WHEN stars = 3 THEN 'neutral' ELSE 'positive' END AS sentiment,
+        p AS fraud_proba, CAST(p >= 0.5 AS INTEGER) AS fraud_flag, 'file' AS source
+      FROM judged""",
+)
 def stream_score(spark, sf):
-    """The reviews written as JSON lines, drip-fed through the streaming scorer, and read back."""
+    """The reviews written as JSON lines, with broken ones among them, fed through the streaming scorer, and read back."""
     folder = stage_path(spark, "stream")
     source, out, marks = f"{folder}/in", f"{folder}/scored", f"{folder}/marks"
-    raw_reviews(spark, sf).select(*REVIEW_SCHEMA.names).repartition(4).write.mode("overwrite").json(source)
+    rows = raw_reviews(spark, sf).select(*REVIEW_SCHEMA.names)
+    broken = rows.where(F.col("event_ts") % 50 == 0).select(F.concat(F.lit("{cut "), "review_id").alias("value"))
+    loosely_typed(rows, "star_rating").unionByName(broken).write.text(source)
     stream.start_scoring(stream.file_source(spark, source, 2), stand_in_scorer, out, marks, "file", once=True)
-    shown = ["review_id", "product_id", "sentiment_label", "sentiment", "fraud_proba", "fraud_flag", "source"]
-    return stream.read_scored(spark, out).select(*shown)
+    got = stream.read_scored(spark, out).withColumn("star_rating", F.coalesce("star_rating", F.lit(-1)))
+    return got.select(
+        "review_id", "product_id", "star_rating", "sentiment_label", "sentiment", "fraud_proba", "fraud_flag", "source"
+    )
+
+
+def corpus_lines(spark, sf):
+    """External corpus records as JSON lines, with odd counts, missing ratings and broken lines."""
+    folder = stage_path(spark, "corpus")
+    rows = raw_reviews(spark, sf)
+    votes = F.when(F.col("event_ts") % 11 == 0, 1e20).otherwise(F.col("helpful_votes").cast("double"))
+    records = rows.select(
+        "review_id",
+        F.col("star_rating").alias("rating"),
+        F.col("review_headline").alias("title"),
+        F.col("review_body").alias("text"),
+        F.col("product_id").alias("asin"),
+        F.col("reviewer_id").alias("user_id"),
+        (F.col("event_ts") * 1000 + 999).alias("timestamp"),
+        votes.alias("helpful_vote"),
+        "verified_purchase",
+    )
+    broken = rows.where(F.col("event_ts") % 40 == 0).select(F.concat(F.lit('{"rating": '), "review_id").alias("value"))
+    loosely_typed(records, "rating").unionByName(broken).write.text(folder)
+    return folder
+
+
+@query(
+    "S2 P12-P17",
+    """SELECT product_id, reviewer_id, star_rating, CASE WHEN event_ts % 11 = 0 THEN 0 ELSE helpful_votes END AS helpful_votes,
+         coalesce(verified_purchase, false) AS verified_purchase, md5(trim(coalesce(review_body, ''))) AS body_md5,
+         'Books' AS product_category, event_ts, 64 AS id_chars
+       FROM reviews WHERE star_rating IS NOT NULL""",
+)
+def import_lines(spark, sf):
+    got = corpus.import_corpus(spark, corpus_lines(spark, sf), "Books")
+    return got.select(
+        "product_id", "reviewer_id", "star_rating", "helpful_votes", "verified_purchase",
+        F.md5(F.trim("review_body").cast("binary")).alias("body_md5"), "product_category", "event_ts",
+        F.length("review_id").alias("id_chars"),
+    )
+
+
+@query(
+    "S3 S4",
+    """SELECT count(*) + count(*) FILTER (event_ts % 40 = 0) AS "read", count(star_rating) AS written,
+         count(*) - count(star_rating) + count(*) FILTER (event_ts % 40 = 0) AS skipped, least(count(star_rating), 700) AS limited
+       FROM reviews""",
+)
+def import_accounting(spark, sf):
+    folder = corpus_lines(spark, sf)
+    limited = corpus.import_corpus(spark, folder, "Books", 700).agg(F.count(F.lit(1)).alias("n"))
+    return corpus.import_counts(spark, folder).withColumn("limited", limited.scalar())

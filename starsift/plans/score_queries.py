@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from starsift.functions.risk import PROMO_PHRASES
 from starsift.operators import calibration, drift, metrics, preparation, ranking, rollups, serving, text_features, thresholds
-from starsift.operators.splits import with_split
-from starsift.plans.inputs import clean_base, scored, sql_clean, staged_labelled, table
+from starsift.plans.inputs import clean_base, scored, sql_clean, labelled, table
 from starsift.plans.registry import query, rounded
 from starsift.schemas import MODEL_NUMERIC_FEATURES, NUMERIC_FEATURES
 from starsift.staging import stage
@@ -56,7 +55,7 @@ def scorecard(spark, sf):
       FROM pointed""",
 )
 def explanations(spark, sf):
-    rows = scored(spark, sf, "review_body").withColumns(
+    rows = scored(spark, sf).withColumns(
         {"fraud_proba": F.col("score"), "fraud_flag": F.col("pred"), "sentiment_label": F.col("sentiment_pred")}
     )
     told = serving.explain(serving.prediction_columns(rows))
@@ -84,7 +83,7 @@ _FEATURE_MEANS = ", ".join(f"stddev_pop({c}) AS {c}" for c in MODEL_NUMERIC_FEAT
 )
 def scaled_numerics(spark, sf):
     rows = serving.model_input(
-        staged_labelled(spark, sf).withColumn("review_body_clean", F.lit(""))
+        labelled(spark, sf).withColumn("review_body_clean", F.lit(""))
     )
     return rounded(preparation.scale_by_deviation(rows, MODEL_NUMERIC_FEATURES).select("review_id", *MODEL_NUMERIC_FEATURES))
 
@@ -178,8 +177,8 @@ def tfidf_by_gram(spark, sf):
     return rounded(per_gram, 5)
 
 
-def sentiment_predictions(spark, sf, *extra):
-    return scored(spark, sf, *extra).withColumns({"label": F.col("sentiment_label"), "pred": F.col("sentiment_pred")})
+def sentiment_predictions(spark, sf):
+    return scored(spark, sf).withColumns({"label": F.col("sentiment_label"), "pred": F.col("sentiment_pred")})
 
 
 @query(
@@ -449,8 +448,8 @@ _MEANS = "\nUNION ALL ".join(
 )
 
 
-def split_pair(spark, sf, *extra):
-    rows = stage(with_split(staged_labelled(spark, sf, *extra)), "split")
+def split_pair(spark, sf):
+    rows = labelled(spark, sf)
     return rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
 
 
@@ -471,7 +470,7 @@ def mean_drift(spark, sf):
          round(c - r, 6) + 0.0 AS avg_length_delta FROM sides""",
 )
 def length_drift(spark, sf):
-    return rounded(drift.length_drift(*split_pair(spark, sf, "review_body_clean")))
+    return rounded(drift.length_drift(*split_pair(spark, sf)))
 
 
 @query(
@@ -483,7 +482,7 @@ def length_drift(spark, sf):
       (SELECT round(avg(body_len), 6) FROM labelled WHERE split = 'train') AS reference_avg_length""",
 )
 def drift_summary(spark, sf):
-    one = drift.drift_summary(*split_pair(spark, sf, "review_body_clean"))
+    one = drift.drift_summary(*split_pair(spark, sf))
     shifts = F.transform("numeric_mean_comparison", lambda m: F.abs(m["mean_delta"]))
     return one.select(
         "row_count_reference",
@@ -513,7 +512,7 @@ _PSI_EDGES = [50, 100, 200, 300, 400, 600, 800, 1200]
       shares AS (
         SELECT bin, greatest(count(*) FILTER (WHERE split = 'train') / (SELECT count(*) FROM binned WHERE split = 'train'), 1e-4) AS r,
           greatest(count(*) FILTER (WHERE split = 'test') / (SELECT count(*) FROM binned WHERE split = 'test'), 1e-4) AS c
-        FROM binned GROUP BY bin)
+        FROM range(0, {len(_PSI_EDGES) + 1}) g(bin) LEFT JOIN binned USING (bin) GROUP BY bin)
       SELECT round(sum((c - r) * ln(c / r)), 6) AS psi, CAST(count(*) AS INTEGER) AS n_bins FROM shares""",
 )
 def psi(spark, sf):

@@ -14,11 +14,10 @@ from starsift.plans.inputs import (
     raw_reviews,
     scored_batches,
     sql_clean,
-    staged_labelled,
     table,
 )
 from starsift.plans.registry import query, rounded
-from starsift.schemas import PRODUCT_FEATURES, REVIEWER_FEATURES
+from starsift.schemas import PRODUCT_FEATURES, REVIEW_SCHEMA, REVIEWER_FEATURES
 from starsift.sources import corpus, reports, reviews
 
 
@@ -124,7 +123,7 @@ def sampled_reviews(spark, sf):
        FROM labelled""",
 )
 def featured_reviews(spark, sf):
-    full = feature_table(labelled(spark, sf, "review_headline_clean", "review_body_clean"))
+    full = feature_table(labelled(spark, sf))
     shown = full.withColumns(
         {
             "headline_md5": F.md5(F.col("review_headline_clean").cast("binary")),
@@ -198,7 +197,7 @@ def suspicious_products(spark, sf):
        ON l.product_id = p.product_id WHERE p.p_fraud_rate >= 0.30""",
 )
 def high_risk_reviews(spark, sf):
-    rows = rollups.reviews_on_risky_products(staged_labelled(spark, sf), 0.30)
+    rows = rollups.reviews_on_risky_products(labelled(spark, sf), 0.30)
     return rounded(rows.select("review_id", "product_id", "p_fraud_rate"))
 
 
@@ -326,7 +325,7 @@ def riskiest_of_busiest(spark, sf):
 
 _RECENT = """recent AS (
   SELECT * FROM scored WHERE batch_id IN (SELECT DISTINCT batch_id FROM scored ORDER BY batch_id DESC LIMIT 5)
-  ORDER BY batch_id DESC, review_id DESC LIMIT {n})"""
+  ORDER BY batch_id DESC, CAST(review_id AS BIGINT) DESC LIMIT {n})"""
 
 
 @query(
@@ -352,7 +351,10 @@ def recent_sources(spark, sf):
 @query(
     "J2",
     f""", {_RECENT.format(n=200)},
-      seen AS (SELECT product_id, least(count(*), 20) AS recent_reviews FROM recent GROUP BY product_id),
+      seen AS (SELECT product_id, least(count(*), 20) AS recent_reviews,
+          array_to_string(list_slice(list(concat(review_id, ':', sentiment, ':', CAST(pred AS VARCHAR), ':', md5(review_body))
+            ORDER BY batch_id, CAST(review_id AS BIGINT)), 1, 20), ',') AS reviews
+        FROM recent GROUP BY product_id),
       totals AS (
         SELECT product_id, string_agg(product_category, ',' ORDER BY product_category) AS categories,
           CAST(sum(review_count) AS BIGINT) AS review_count,
@@ -365,11 +367,14 @@ def recent_sources(spark, sf):
         FROM (SELECT * FROM reviewer_agg ORDER BY fraud_rate DESC, review_count DESC, reviewer_id LIMIT 5))
       SELECT t.product_id, t.categories, t.review_count, t.fraud_review_count, round(t.avg_rating, 6) AS avg_rating,
         round(t.fraud_rate, 6) AS fraud_rate, CAST(coalesce(s.recent_reviews, 0) AS INTEGER) AS recent_reviews,
-        (SELECT suspects FROM suspects) AS suspects
+        coalesce(s.reviews, '') AS reviews, (SELECT suspects FROM suspects) AS suspects
       FROM totals t LEFT JOIN seen s ON s.product_id = t.product_id""",
 )
 def product_audit(spark, sf):
-    rows = staged_labelled(spark, sf)
+    rows = labelled(spark, sf)
+    told = lambda r: F.concat_ws(
+        ":", r["review_id"], r["sentiment"], r["fraud_flag"].cast("string"), F.md5(r["review_body"].cast("binary"))
+    )
     report = audit.product_audit(rollups.product_rollup(rows), rollups.reviewer_rollup(rows), scored_batches(spark, sf))
     return rounded(
         report.select(
@@ -380,6 +385,7 @@ def product_audit(spark, sf):
             "avg_rating",
             "fraud_rate",
             F.size(F.coalesce("reviews", F.array())).alias("recent_reviews"),
+            F.array_join(F.transform(F.coalesce("reviews", F.array()), told), ",").alias("reviews"),
             F.array_join(F.transform("suspicious_reviewers", lambda s: s["reviewer_id"]), ",").alias("suspects"),
         )
     )
@@ -414,7 +420,7 @@ def serving_features(spark, sf):
        FROM labelled""",
 )
 def model_input(spark, sf):
-    rows = serving.model_input(labelled(spark, sf, "review_body_clean"))
+    rows = serving.model_input(labelled(spark, sf))
     body = F.md5(F.col("review_body_clean").cast("binary")).alias("body_md5")
     return rounded(
         rows.select(
@@ -486,8 +492,23 @@ def validate_corpus(spark, sf):
     return checked.drop("data_type")
 
 
-@query("S10", None)
+@query(
+    "S10",
+    """SELECT review_id AS key, product_id, reviewer_id, coalesce(nullif(star_rating, 0), 5) AS star_rating,
+         coalesce(helpful_votes, 0) AS helpful_votes, coalesce(total_votes, 0) AS total_votes,
+         CAST(coalesce(verified_purchase, false) AS VARCHAR) AS verified_purchase, review_headline,
+         coalesce(md5(review_body), '') AS body_md5, coalesce(review_date, '2024-05-06') AS review_date, product_category, event_ts
+       FROM reviews""",
+)
 def review_messages(spark, sf):
+    """The fields of the messages, read back from their JSON; the time of submission is given."""
     from starsift.sources.kafka import submitted_record, to_messages
 
-    return to_messages(submitted_record(raw_reviews(spark, sf)))
+    at = F.to_timestamp(F.lit("2024-05-06 07:08:09"))
+    sent = to_messages(submitted_record(raw_reviews(spark, sf), at))
+    back = sent.select("key", F.from_json("value", REVIEW_SCHEMA).alias("r")).select("key", "r.*")
+    body = F.coalesce(F.md5(F.col("review_body").cast("binary")), F.lit("")).alias("body_md5")
+    return back.select(
+        "key", "product_id", "reviewer_id", "star_rating", "helpful_votes", "total_votes", known_or_blank("verified_purchase"),
+        "review_headline", body, "review_date", "product_category", "event_ts",
+    )

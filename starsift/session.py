@@ -10,15 +10,20 @@ ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Small tables are still worth all cores where rows carry long texts.
-    "spark.sql.files.openCostInBytes": "262144",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
+# For tests and benches on small tables, which are still worth all cores where rows
+# carry long texts. On a cluster these would make very many small tasks.
+SMALL_TABLES = {
+    "spark.sql.files.openCostInBytes": "262144",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+}
+
+
 def build_session(
     app_name: str = "starsift",
     master: str | None = None,

@@ -10,23 +10,37 @@ join's exchange, the shape that adaptive skew-join splitting can handle.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []
+#: Staged paths of each session, and those that are looked up by a key.
+_written: dict[tuple, list[str]] = {}
+_shared: dict[tuple, str] = {}
+
+
+def _session(spark: SparkSession) -> tuple:
+    return spark.sparkContext.applicationId, spark._jsparkSession.hashCode()
 
 
 def stage_root(spark: SparkSession) -> str:
-    """Shared folder for staged tables, as named by ``spark.checkpoint.dir``."""
+    """Shared folder for staged tables, as named by ``spark.checkpoint.dir``.
+
+    Where it is unset and the session runs on this machine alone, a temporary
+    folder stands in; it goes when the process ends. On a cluster it must be set.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="starsift-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
@@ -34,7 +48,7 @@ def stage_root(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder, deleted by ``release_stages``."""
     path = f"{stage_root(spark)}/starsift-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    _written.append(path)
+    _written.setdefault(_session(spark), []).append(path)
     return path
 
 
@@ -45,12 +59,43 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_once(spark: SparkSession, label: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table ``label`` of the folder ``source``: written at the first call of a session, then read."""
+
+    def written() -> str:
+        path = stage_path(spark, label)
+        build().write.parquet(path)
+        return path
+
+    return stage_path_once(spark, label, source, written)
+
+
+def stage_path_once(spark: SparkSession, label: str, source: str, write: Callable[[], str]) -> DataFrame:
+    """As ``stage_once``, for a ``write`` that returns the path it wrote to. Files that are gone are written again."""
+    key = (*_session(spark), label, source)
+    path = _shared.get(key)
+    if path is None or not _exists(spark, f"{path}/_SUCCESS"):
+        path = _shared[key] = write()
+    return spark.read.parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    system, at = _file_system(spark, path)
+    return system.exists(at)
+
+
 def release_stages(spark: SparkSession) -> int:
-    """Delete the tables this process staged; frames read from them end here."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Delete the tables this session staged; frames read from them end here."""
+    own = _session(spark)
+    for key in [k for k in _shared if k[:2] == own]:
+        del _shared[key]
     n = 0
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        n += bool(path.getFileSystem(conf).delete(path, True))
+    for path in _written.pop(own, []):
+        system, at = _file_system(spark, path)
+        n += bool(system.delete(at, True))
     return n

@@ -71,6 +71,55 @@ def test_reports(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/thresholds").first()["best_f1_threshold"] == 0.3
 
 
+def test_lenient_import(spark, tmp_path):
+    good = {"rating": 4.0, "title": "T", "text": "x", "asin": "A", "user_id": "U", "timestamp": 1704067200000}
+    odd = [{"rating": "5.0"}, {"helpful_vote": 2.0}, {"helpful_vote": 1e30}, {"timestamp": "1704067200000"}, {"rating": "five"}, {"rating": 1e300}]
+    lines(tmp_path / "Odd_Ones.jsonl", *[{**good, **o} for o in odd], "{broken", "[1]")
+    rows = corpus.import_corpus(spark, str(tmp_path)).collect()
+    assert sorted((r["star_rating"] is None, r["star_rating"] or 0, r["helpful_votes"]) for r in rows) == [
+        (False, 4, 0), (False, 4, 0), (False, 4, 2), (False, 5, 0), (True, 0, 0),
+    ]
+    assert tuple(corpus.import_counts(spark, str(tmp_path)).first()) == (8, 5, 3)
+
+
+@pytest.mark.parametrize("n", [1, 7, 30, 31, 99])
+def test_import_limit_cuts_one_partition(spark, n):
+    from starsift.sources.corpus import first_rows
+
+    rows = spark.range(0, 30, 1, 4)
+    assert [r["id"] for r in first_rows(rows, n).orderBy("id").collect()] == list(range(min(n, 30)))
+
+
+def test_stream_takes_loosely_typed_reviews(spark):
+    given = [{**REVIEW, "star_rating": v} for v in ("4", 4.0, 4, None, "x", 1e99)]
+    messages = spark.createDataFrame([(json.dumps(r),) for r in given] + [("{broken",), ("",)], "value string")
+    got = scorer.scored_rows(messages, stand_in_scorer, "file").collect()
+    assert [r["star_rating"] for r in got] == [4, 4, 4, None, None, None]
+    assert [r["sentiment_label"] for r in got] == [2, 2, 2, 1, 1, 1]
+
+
+def test_shared_tables_are_written_once(spark):
+    from starsift.plans.inputs import clean_base, labelled
+    from starsift.staging import _shared, release_stages
+
+    release_stages(spark)
+    for name in ("product_rollup", "reviewer_rollup", "global_summary", "roc_auc", "psi", "class_weights"):
+        all_queries()[name].run(spark, SMOKE).collect()
+    assert sorted(k[2] for k in _shared) == ["clean", "labelled"]
+    first = clean_base(spark, SMOKE).inputFiles()
+    assert clean_base(spark, SMOKE).inputFiles() == first
+    assert release_stages(spark) > 0 and not _shared
+    assert labelled(spark, SMOKE).count() > 0 and clean_base(spark, SMOKE).inputFiles() != first
+
+
+def test_recent_rows_scan_few_batches(spark):
+    from starsift.operators.audit import recent_scored
+    from starsift.plans.inputs import scored_batches
+
+    plan = recent_scored(scored_batches(spark, SMOKE))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [batch_id" in plan
+
+
 def test_messages(spark):
     df = spark.createDataFrame([("nice", None, 0)], "review_body string, product_id string, star_rating int")
     sent = json.loads(kafka.to_messages(kafka.submitted_record(df)).first()["value"])

@@ -159,6 +159,10 @@ def test_psi(spark):
     assert drift.population_stability(a, shifted, "x", [50.0]).first()["psi"] == pytest.approx(
         (1e-4 - 0.5) * math.log(1e-4 / 0.5) + 0.5 * math.log(2)
     )
+    none = a.where("x < 0")
+    assert drift.population_stability(a, none, "x", [50.0]).first()["psi"] > 0
+    assert drift.population_stability(none, none, "x", [50.0]).first()["psi"] == 0
+    assert drift.population_stability(a, a, "x", [3.0, 1000.0]).first()["n_bins"] == 3
 
 
 def test_tfidf_by_hand(spark):

@@ -61,6 +61,8 @@ def test_lenient_casts(spark):
     assert one(spark, coerce.number_or(F.lit("x"), 3, "int"), a=1) == 3
     assert one(spark, coerce.number_or(F.lit("4"), 3, "int"), a=1) == 4
     assert one(spark, coerce.number_or(F.lit(float("nan")), 0), a=1) == 0
+    for text in ("99999999999", "inf", "-1e40"):
+        assert one(spark, coerce.number_or(F.lit(text), 3, "int"), a=1) == 3
     assert one(spark, coerce.flag(F.lit(None).cast("boolean")), a=1) == 0
 
 
