@@ -15,8 +15,13 @@ import time
 from starsift.operators import drift, metrics, ranking, rollups, text_features, thresholds
 from starsift.plans.batch import build_tables
 from starsift.plans.inputs import raw_reviews, stand_in_scores
+from starsift.plans.model_queries import stand_in_scorer
+from starsift.schemas import REVIEW_SCHEMA
 from starsift.session import SMALL_TABLES, build_session
+from starsift.sources.corpus import import_corpus
+from starsift.sources.reviews import read_reviews
 from starsift.staging import release_stages
+from starsift.streaming.scorer import file_source, start_scoring
 
 
 def main() -> None:
@@ -41,9 +46,25 @@ def main() -> None:
         seconds[name] = round(best, 3)
 
     spark.range(1000).selectExpr("sum(id)").collect()
-    raw_path = f"{out}/raw"
+    raw_path, lines_path, corpus_path = f"{out}/raw", f"{out}/lines", f"{out}/corpus"
     raw_reviews(spark, folder).write.parquet(raw_path)
     raw = spark.read.parquet(raw_path)
+    # The published runs start from JSON lines.
+    raw.select(*REVIEW_SCHEMA.names).write.json(lines_path)
+    records = raw.selectExpr(
+        "star_rating as rating", "review_headline as title", "review_body as text", "product_id as asin",
+        "reviewer_id as user_id", "event_ts * 1000 as timestamp", "helpful_votes as helpful_vote", "verified_purchase",
+    )
+    records.write.json(corpus_path)
+    timed("json_import", lambda: import_corpus(spark, corpus_path, "Bench").write.parquet(f"{out}/imported-{time.time_ns()}"), 2)
+    timed("json_batch_etl", lambda: build_tables(read_reviews(spark, lines_path), f"{out}/tables-{time.time_ns()}"), 1)
+    release_stages(spark)
+
+    def stream() -> None:
+        to = f"{out}/stream-{time.time_ns()}"
+        start_scoring(file_source(spark, lines_path), stand_in_scorer, f"{to}/scored", f"{to}/marks", "file", once=True)
+
+    timed("stream_score", stream, 1)
     timed("batch_etl", lambda: build_tables(raw, f"{out}/tables-{time.time_ns()}"), 3)
     release_stages(spark)
     paths = build_tables(raw, f"{out}/tables")
@@ -70,6 +91,7 @@ def main() -> None:
     timed("tfidf", lambda: weights.write.format("noop").mode("overwrite").save(), 1)
     rows = reviews.count()
     release_stages(spark)
+    text_mb = raw.selectExpr("sum(octet_length(review_body))").first()[0] / 1e6
     print(
         json.dumps(
             {
@@ -80,6 +102,9 @@ def main() -> None:
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "rows": rows,
                 "batch_rows_per_sec": round(rows / seconds["batch_etl"]),
+                "rows_per_sec": {n: round(rows / seconds[n]) for n in ("json_import", "json_batch_etl", "stream_score", "batch_etl")},
+                "text_mb": round(text_mb),
+                "text_mb_per_sec": round(text_mb / seconds["batch_etl"], 1),
             }
         )
     )
