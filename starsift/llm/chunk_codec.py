@@ -115,7 +115,7 @@ def chunk_dictionary(docs: DataFrame, tokenizer_path: str, text: str = "text", e
 
     def encoded():
         memo = word_memo(tokenizer_path)
-        return lambda texts: {"ids": [np.array(memo.encode(t), np.int32).tobytes() for t in texts]}
+        return lambda texts: {"ids": list(map(memo.encode, texts))}
 
     own = map_texts(docs, text, [], "chunks array<struct<hash:bigint,chunk:binary>>", taken)
     once = own.select(F.inline("chunks")).groupBy("hash").agg(F.min("chunk").alias("chunk"))
@@ -132,9 +132,9 @@ def last_space(chunk: bytes) -> int:
     return max(map(chunk.rfind, (b" ", b"\t", b"\n", b"\r")))
 
 
-def join_chunks(chunks: list[bytes], ids_of, encode) -> list[int]:
-    """Ids of the joined chunks. ``ids_of`` gives a chunk's ids, ``encode`` those of any text."""
-    ids: list[int] = []
+def join_chunks(chunks: list[bytes], ids_of, encode) -> bytes:
+    """Ids of the joined chunks as 32-bit integers. ``ids_of`` gives a chunk's ids, ``encode`` those of any text."""
+    ids: list[bytes] = []
     open_text = b""  # behind the last stable cut; not encoded yet
     for chunk in chunks:
         first, last = first_space(chunk), last_space(chunk)
@@ -147,10 +147,10 @@ def join_chunks(chunks: list[bytes], ids_of, encode) -> list[int]:
         agrees = own[: len(head_ids)] == head_ids and own[len(own) - len(tail_ids) :] == tail_ids
         middle = own[len(head_ids) : len(own) - len(tail_ids)] if agrees else encode(chunk[len(head) : last + 1])
         if open_text:
-            ids += encode(open_text + head)
-        ids += middle
+            ids.append(encode(open_text + head))
+        ids.append(middle)
         open_text = tail
-    return ids + encode(open_text) if open_text else ids
+    return b"".join([*ids, encode(open_text)])
 
 
 def encode_documents(
@@ -167,14 +167,13 @@ def encode_documents(
     def make():
         memo, tokenizer = word_memo(tokenizer_path), load_tokenizer(tokenizer_path)
 
-        def ids_of(chunk: bytes) -> list[int]:
+        def ids_of(chunk: bytes) -> bytes:
             known = shared.value.get(chunk)
-            return memo.encode(chunk) if known is None else np.frombuffer(known, np.int32).tolist()
+            return memo.encode(chunk) if known is None else known
 
         def rows(texts: list[bytes]) -> dict[str, list]:
-            ids = [join_chunks(chunks, ids_of, memo.encode) for chunks in split_texts(texts)]
-            decoded = [tokenizer.decode(i, skip_special_tokens=False) for i in ids]
-            return {"ids": [np.array(i, np.int32) for i in ids], "decoded": decoded}
+            ids = [np.frombuffer(join_chunks(c, ids_of, memo.encode), np.int32) for c in split_texts(texts)]
+            return {"ids": ids, "decoded": [tokenizer.decode(i.tolist(), skip_special_tokens=False) for i in ids]}
 
         return rows
 

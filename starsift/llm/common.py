@@ -13,7 +13,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: UTF-8 bytes of text handled at once inside a task; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Rows that Spark hands to a task at once; whole texts are long.
+BATCH_ROWS = 1000
 
 TextRows = Callable[[list[bytes]], dict[str, list]]
 
@@ -46,14 +48,23 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         yield batch.slice(start)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows of an Arrow batch, and with it what both sides of a Python task hold."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def map_texts(df: DataFrame, text: str, keep: list[str], added: str, make: Callable[[], TextRows]) -> DataFrame:
     """Columns ``keep`` of ``df`` and the columns ``added`` (a DDL schema) computed from whole texts.
 
     ``make`` is called once in each task and returns the function from a list of
     texts (UTF-8 bytes, never null) to one list for each added column. A null text
     counts as empty. Rows stay in their partitions and in order: no shuffle, and
-    memory is bounded by ``SLICE_BYTES`` or the longest single text.
+    memory is bounded by ``SLICE_BYTES`` and ``BATCH_ROWS``, or the longest single text.
+    The session's limit on rows of an Arrow batch is lowered to the latter.
     """
+    small_batches(df.sparkSession)
     clash = set(keep) & set(StructType.fromDDL(added).names)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are both kept and added")

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -110,12 +109,11 @@ def pack_documents(
     )
 
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
-        memo = word_memo(tokenizer_path)
+        memo, end = word_memo(tokenizer_path), np.int32(end_id).tobytes()
         for batch in batches:
             for part in slices(batch, "text"):
                 for key, body in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    found = memo.ids_of((body or b"").split())
-                    yield key, np.fromiter(chain(chain.from_iterable(found), (end_id,)), np.int32)
+                    yield key, np.frombuffer(memo.encode(body or b"") + end, np.int32)
 
     def packed(pieces: list, serial: int) -> tuple[pa.RecordBatch, int]:
         columns: dict[str, list] = {name: [] for name in arrow.names}

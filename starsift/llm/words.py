@@ -9,12 +9,14 @@ text are the ids of its words, one after the other.
 from __future__ import annotations
 
 import os
-from itertools import chain
+from array import array
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Entries of the younger half of a memo; with the older half, at most twice as many are held.
-MEMO_WORDS = 200_000
+#: Entries of the younger half of a memo; with the older half, at most twice as many are held,
+#: some 140 bytes each.
+MEMO_WORDS = 250_000
+ID_BYTES = array("i").itemsize
 #: Longer words are encoded and not kept.
 MEMO_CHARS = 64
 
@@ -46,16 +48,17 @@ def word_memo(path: str) -> WordMemo:
 class WordMemo:
     """Word -> ids, encoded by the library in batches, with a bound on the entries held.
 
-    Two generations: a word found in the older one moves to the younger; when the
-    younger is full, it becomes the older one and what was not used again goes.
+    Ids are kept as native 32-bit integers in one bytes object. Two generations: a
+    word found in the older one moves to the younger; when the younger is full, it
+    becomes the older one and what was not used again goes.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.young: dict[bytes, tuple[int, ...]] = {}
-        self.old: dict[bytes, tuple[int, ...]] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, tuple[int, ...]]:
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words that the younger generation lacks."""
         found, new = {}, []
         for w in words:
@@ -64,14 +67,15 @@ class WordMemo:
                 new.append(w)
             else:
                 found[w] = ids
-        texts = [w.decode("utf-8", "replace") for w in new]
-        for at in range(0, len(texts), 4096):
-            encodings = self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)
-            for w, e in zip(new[at : at + 4096], encodings, strict=True):
-                found[w] = tuple(e.ids)
+        for at in range(0, len(new), 1024):
+            part = new[at : at + 1024]
+            texts = [w.decode("utf-8", "replace") for w in part]
+            encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            for w, e in zip(part, encodings, strict=True):
+                found[w] = array("i", e.ids).tobytes()
         return found
 
-    def lookup(self, words: list[bytes]) -> dict[bytes, tuple[int, ...]]:
+    def lookup(self, words: list[bytes]) -> dict[bytes, bytes]:
         """A mapping that holds every one of the words."""
         missing = set(words).difference(self.young)
         if not missing:
@@ -89,15 +93,13 @@ class WordMemo:
         self.young.update(dict(list(kept.items())[:MEMO_WORDS]))
         return both
 
-    def ids_of(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """The ids of each word."""
+    def encode(self, text: bytes) -> bytes:
+        """The ids of a text, one after the other, as 32-bit integers."""
+        words = text.split()
         out = list(map(self.young.get, words))
         if None in out:
             out = list(map(self.lookup(words).__getitem__, words))
-        return out
-
-    def encode(self, text: bytes) -> list[int]:
-        return list(chain.from_iterable(self.ids_of(text.split())))
+        return b"".join(out)
 
     def count(self, text: bytes) -> int:
-        return sum(map(len, self.ids_of(text.split())))
+        return len(self.encode(text)) // ID_BYTES

@@ -51,7 +51,7 @@ def test_join_repair_equals_whole(parts):
     memo = word_memo(tokenizer_path())
     chunks = [p.encode() for p in parts if p]
     whole = t.encode("".join(parts), add_special_tokens=False).ids
-    assert chunk_codec.join_chunks(chunks, memo.encode, memo.encode) == whole
+    assert np.frombuffer(chunk_codec.join_chunks(chunks, memo.encode, memo.encode), np.int32).tolist() == whole
 
 
 def test_chunks_are_content_defined():
@@ -78,7 +78,8 @@ def test_memo_stays_bounded_and_right(monkeypatch):
     monkeypatch.setattr("starsift.llm.words.MEMO_WORDS", 50)
     memo = WordMemo(tokenizer_path())
     text = " ".join(f"word{i % 170} x{i}" for i in range(2000))
-    assert memo.encode(text.encode()) == memo.tokenizer.encode(text, add_special_tokens=False).ids
+    got = np.frombuffer(memo.encode(text.encode()), np.int32).tolist()
+    assert got == memo.tokenizer.encode(text, add_special_tokens=False).ids
     assert len(memo.young) <= 50 and len(memo.old) <= 50
 
 
