@@ -24,9 +24,9 @@ from starsift.llm.common import map_texts
 FIT_TOXIC, FIT_CLEAN = 1500, 3000
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 128, 128
 #: Different words of clean documents that the machine sees at most, the most frequent first.
-CLEAN_WORDS = 12_000
+CLEAN_WORDS = 8_000
 #: Clean words closest to the toxic side that join the negatives after each round, at most.
-HARD_WORDS = 2_000
+HARD_WORDS = 1_500
 #: A telling word of that many toxic documents counts as toxic in each of them.
 SURE_DOCUMENTS = 4
 DECAY = 0.5
@@ -37,6 +37,8 @@ ROUNDS = 3
 #: Longer strings are read in windows of that many characters, half of one apart.
 WORD_CHARS = 32
 MEMO_WORDS = 300_000
+#: Words whose subsequences are held at once.
+BLOCK_WORDS = 5_000
 
 #: Characters of a word that is spelt out: single ones between blanks, three or more.
 SPELT = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
@@ -127,16 +129,22 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, penalty: float = PENALTY, rounds: int = 30) -> np.ndarray:
     """Weights (bias last, unpenalized) of a linear machine with squared hinge loss, by Newton steps."""
-    x = np.column_stack([x, np.ones(len(x))])
-    ridge = penalty * np.eye(x.shape[1])
+    size = x.shape[1] + 1
+    ridge = penalty * np.eye(size)
     ridge[-1, -1] = 1e-9
-    w, last = np.zeros(x.shape[1]), None
+    w, last = np.zeros(size), None
     for _ in range(rounds):
-        active = y * (x @ w) < 1
+        active = y * (x @ w[:-1] + w[-1]) < 1
         if last is not None and (active == last).all():
             break
-        xa, ca = x[active], cost[active, None]
-        w = np.linalg.solve(ridge + xa.T @ (ca * xa), xa.T @ (ca[:, 0] * y[active]))
+        left, right = ridge.copy(), np.zeros(size)
+        for at in range(0, len(x), 1000):  # few rows at a time: no second copy of the table
+            use = active[at : at + 1000]
+            xa = np.column_stack([x[at : at + 1000][use], np.ones(int(use.sum()))])
+            weighed = cost[at : at + 1000][use, None] * xa
+            left += xa.T @ weighed
+            right += weighed.T @ y[at : at + 1000][use]
+        w = np.linalg.solve(left, right)
         last = active
     return w
 
@@ -165,8 +173,12 @@ class ToxicityModel:
     base: float  # score without any word
 
     def margins(self, words: list[str]) -> np.ndarray:
-        row, code, weight = subsequences(words)
-        return np.bincount(row, weight * self.table[code], len(words)) + self.bias
+        out = np.full(len(words), self.bias)
+        for at in range(0, len(words), BLOCK_WORDS):
+            part = words[at : at + BLOCK_WORDS]
+            row, code, weight = subsequences(part)
+            out[at : at + len(part)] += np.bincount(row, weight * self.table[code], len(part))
+        return out
 
     def score(self, margin: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30))))
@@ -208,7 +220,9 @@ def fit_rows(rows: list[tuple[str, int]]) -> ToxicityModel:
     blank = ToxicityModel(np.zeros(1 << 18), 0.0, 1.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))), share)
     if not rows or labels.min() == labels.max():
         return blank
-    bags = [sorted({r for s in sentences(t) for w in candidates(s) for r in readings(w)}) for t, _ in rows]
+    one: dict[str, str] = {}  # a single object for each word
+    bags = [sorted({one.setdefault(r, r) for s in sentences(t) for w in candidates(s) for r in readings(w)}) for t, _ in rows]
+    one.clear()
     toxic, clean = {}, {}
     for bag, y in zip(bags, labels, strict=True):
         for w in bag:
@@ -237,7 +251,7 @@ def fit_rows(rows: list[tuple[str, int]]) -> ToxicityModel:
             for w in words:
                 count[w] = count.get(w, 0) + 1
         kinds = sorted(count)
-        x = np.concatenate([mapped(kinds), mapped(negatives)])
+        x = mapped(kinds + negatives)
         y = np.concatenate([np.ones(len(kinds)), -np.ones(len(negatives))])
         weight = np.array([count[w] for w in kinds])
         cost = np.concatenate([weight / weight.sum(), np.full(len(negatives), 1 / len(negatives))])
