@@ -26,6 +26,8 @@ from starsift.llm.words import word_memo
 ROW_TOKENS = 2048
 #: Tokens a task packs at once: 32-bit ids, so 8 MB.
 BLOCK_TOKENS = 2_000_000
+#: Words whose ids a task remembers, twice over at most, some 200 bytes each.
+MEMO_WORDS = 800_000
 
 PACKED = (
     "pack_id bigint, n_tokens int, input_ids binary, position_ids binary, cu_seqlens array<int>,"
@@ -109,7 +111,7 @@ def pack_documents(
     )
 
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
-        memo, end = word_memo(tokenizer_path), np.int32(end_id).tobytes()
+        memo, end = word_memo(tokenizer_path, MEMO_WORDS), np.int32(end_id).tobytes()
         for batch in batches:
             for part in slices(batch, "text"):
                 for key, body in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):

@@ -35,14 +35,15 @@ def load_tokenizer(path: str):
 
 
 _LOADED: dict[str, object] = {}
-_MEMOS: dict[str, WordMemo] = {}
+_MEMOS: dict[tuple[str, int], WordMemo] = {}
 
 
-def word_memo(path: str) -> WordMemo:
-    """The memo of this worker process for a tokenizer file."""
-    if path not in _MEMOS:
-        _MEMOS[path] = WordMemo(path)
-    return _MEMOS[path]
+def word_memo(path: str, entries: int | None = None) -> WordMemo:
+    """The memo of this worker process for a tokenizer file and a number of entries."""
+    key = (path, entries or MEMO_WORDS)
+    if key not in _MEMOS:
+        _MEMOS[key] = WordMemo(*key)
+    return _MEMOS[key]
 
 
 class WordMemo:
@@ -53,7 +54,8 @@ class WordMemo:
     becomes the older one and what was not used again goes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int | None = None):
+        self.entries = entries or MEMO_WORDS
         self.tokenizer = load_tokenizer(path)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -81,16 +83,16 @@ class WordMemo:
         if not missing:
             return self.young
         found = self._learn(list(missing))
-        if len(self.young) + len(found) > MEMO_WORDS:
+        if len(self.young) + len(found) > self.entries:
             used = {w: self.young[w] for w in set(words) if w in self.young}
             self.old, self.young = self.young, {}
             found.update(used)
         kept = {w: ids for w, ids in found.items() if len(w) <= MEMO_CHARS}
-        if len(kept) == len(found) and len(kept) <= MEMO_WORDS:
+        if len(kept) == len(found) and len(kept) <= self.entries:
             self.young.update(kept)
             return self.young
         both = {**self.young, **found}
-        self.young.update(dict(list(kept.items())[:MEMO_WORDS]))
+        self.young.update(dict(list(kept.items())[: self.entries]))
         return both
 
     def encode(self, text: bytes) -> bytes:
