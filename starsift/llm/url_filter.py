@@ -3,8 +3,12 @@
 A page that a rule fits takes the verdict of the longest one. For the others, trust
 starts at hosts in the share of their pages that rules allow and follows links
 forward; distrust starts in the share that rules block and follows links backward
-(who links to blocked hosts is suspect). Both are personalised PageRanks in one
-table, iterated with joins and sums; a host is blocked from a threshold on.
+(who links to blocked hosts is suspect). A host's distrust is the share of its own
+personalised PageRank along its links that lies on blocked pages, its trust the
+share of that against its links that lies on allowed ones; neither depends on how
+many other hosts link to the same place. The share of its own pages is the least a
+host has. Both are one table, iterated with joins and sums until nothing moves; a
+host is blocked from a threshold on.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Share of the mass that follows links; the rest returns to the seeds.
 DAMPING = 0.85
 ITERATIONS = 8
+#: Shares are iterated until none changes by more than this.
+TOLERANCE = 1e-7
 #: A host is blocked if its distrust reaches this and exceeds its trust.
 BLOCK_FROM = 0.5
 #: Absolute and protocol-relative links; relative ones stay on the host.
@@ -111,7 +117,7 @@ def seed_mass(judged: DataFrame) -> DataFrame:
 def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
     """(kind, host, mass) after ``iterations`` steps; mass of a host without onward links stays there.
 
-    Every step is written to the shared folder, so a lost executor costs one step.
+    It shrinks with the number of hosts that share it; verdicts rest on ``host_shares``. Every step is written to the shared folder, so a lost executor costs one step.
     """
     seeds = stage(seeds, "seeds")
     edges = stage(transitions(links), "edges")
@@ -127,9 +133,50 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, iter
     return mass
 
 
+def neighbour_shares(links: DataFrame) -> DataFrame:
+    """(kind, host, of, w): whose share ``host`` takes up; distrust of whom it links to, trust of who links to it.
+
+    The weights of one host sum to 1.
+    """
+    both = links.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("trust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("of"), "n"),
+                F.struct(F.lit("distrust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("of"), "n"),
+            )
+        )
+    )
+    totals = both.groupBy("kind", "host").agg(F.sum("n").alias("total"))
+    return both.join(totals, ["kind", "host"]).select("kind", "host", "of", (F.col("n") / F.col("total")).alias("w"))
+
+
+def host_shares(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(kind, host, mass) between 0 and 1: the seed, or if more, what the host's neighbours hand on.
+
+    They hand on ``damping`` of the mean of their masses, besides 1 - ``damping`` of
+    the host's seed. Masses only rise from the seeds and every step shrinks the largest
+    rise by ``damping``, so the steps end by themselves, at any depth of the graph.
+    Every step is written to the shared folder, so a lost executor costs one step.
+    """
+    seeds = stage(seeds, "seeds")
+    edges = stage(neighbour_shares(links), "edges")
+    own = seeds.select("kind", "host", "seed", F.lit(0.0).alias("sent"), F.lit(0.0).alias("was"))
+    mass = seeds.select("kind", "host", F.col("seed").alias("mass"))
+    while True:
+        taken = mass.withColumnRenamed("host", "of").join(edges, ["kind", "of"])
+        sent = taken.select("kind", "host", F.lit(0.0).alias("seed"), (F.col("mass") * F.col("w") * damping).alias("sent"), F.lit(0.0).alias("was"))
+        last = mass.select("kind", "host", F.lit(0.0).alias("seed"), F.lit(0.0).alias("sent"), F.col("mass").alias("was"))
+        sums = own.unionByName(sent).unionByName(last).groupBy("kind", "host").agg(*[F.sum(c).alias(c) for c in ("seed", "sent", "was")])
+        now = F.greatest("seed", F.col("seed") * (1 - damping) + F.col("sent"))
+        step = stage(sums.select("kind", "host", now.alias("mass"), (now - F.col("was") > tolerance).alias("moved")), "mass")
+        mass = step.select("kind", "host", "mass")
+        if step.where("moved").isEmpty():
+            return mass
+
+
 def filter_urls(
     pages: DataFrame, rules: list[Rule], page_id: str = "page_id", url: str = "url", html: str = "html",
-    block_from: float = BLOCK_FROM, iterations: int = ITERATIONS,
+    block_from: float = BLOCK_FROM, tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """Every page as (page_id, host, path, rule, verdict, trust, distrust).
 
@@ -140,7 +187,7 @@ def filter_urls(
     each as a page of their host. No rules, or no pages: no seeds, all allowed.
     """
     judged = judged_by_rules(pages, rules, page_id, url)
-    mass = propagate(seed_mass(judged), host_links(pages, url, html), iterations=iterations)
+    mass = host_shares(seed_mass(judged), host_links(pages, url, html), tolerance=tolerance)
     by_kind = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("mass"))), F.lit(0.0)).alias(k)
     hosts = stage(mass.groupBy("host").agg(by_kind("trust"), by_kind("distrust")), "host-trust")
     scored = judged.join(hosts, "host", "left").fillna(0.0, ["trust", "distrust"])

@@ -82,6 +82,30 @@ def test_links_to_blocked_hosts_are_distrusted(judge):
     assert got[2]["verdict"] == "allow" and got[2]["trust"] > 0
 
 
+@pytest.mark.parametrize("linkers", [1, 2, 1000])
+def test_distrust_does_not_thin_out_among_linkers(judge, linkers):
+    rows = [("http://bad.net/es/1", None), *[(f"http://h{i}.org/", link("bad.net")) for i in range(linkers)]]
+    rows.append(("http://wide.org/", link("bad.net", "a.org", "b.org")))
+    got = judge(rows)
+    assert all(got[i]["verdict"] == "block" and got[i]["distrust"] == pytest.approx(0.85) for i in range(1, linkers + 1))
+    assert got[linkers + 1]["verdict"] == "allow" and got[linkers + 1]["distrust"] == pytest.approx(0.85 / 3)
+
+
+def test_seed_share_is_kept_whoever_links(judge):
+    got = judge([*[(f"http://x.net/es/{i}", None) for i in range(9)], ("http://x.net/en/", None), ("http://one.org/", link("x.net", "y.org"))])
+    assert got[9]["distrust"] == pytest.approx(0.9) and got[9]["verdict"] == "block" and got[10]["verdict"] == "allow"
+
+
+def test_distant_hosts_and_loops_are_reached(spark):
+    links = [(f"h{i + 1}", f"h{i}", 1) for i in range(12)] + [("p", "q", 1), ("q", "p", 1), ("q", "h0", 1)]
+    seeds = spark.createDataFrame([("distrust", "h0", 1.0)], "kind string, host string, seed double")
+    found = u.host_shares(seeds, spark.createDataFrame(links, "src string, dst string, n bigint"))
+    got = {r["host"]: r["mass"] for r in found.where("kind = 'distrust'").collect()}
+    assert all(got[f"h{i}"] == pytest.approx(0.85**i, abs=1e-6) for i in range(13))
+    q = 0.85 * 0.5 / (1 - 0.85 * 0.85 * 0.5)
+    assert got["q"] == pytest.approx(q, abs=1e-6) and got["p"] == pytest.approx(0.85 * q, abs=1e-6)
+
+
 def test_empty_and_repeated_pages(judge, spark):
     assert judge([]) == {}
     got = judge([("http://x.net/es/", None)] * 3 + [("http://x.net/en/", link("x.net"))])
