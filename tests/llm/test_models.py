@@ -37,6 +37,27 @@ def test_language_edge_cases(spark, docs_of, odd_texts):
     assert language_id.identify(docs_of([]), model, ["doc_id"]).collect() == []
 
 
+UNSEEN = {
+    "pl": "Wczoraj wieczorem poszliśmy na spacer nad rzekę i rozmawialiśmy o tym, co będziemy robić w przyszłym roku, kiedy dzieci pójdą już do szkoły. ",
+    "it": "Ieri sera siamo andati a fare una passeggiata lungo il fiume e abbiamo parlato di quello che faremo l'anno prossimo, quando i bambini andranno a scuola. ",
+    "hu": "Tegnap este sétálni mentünk a folyóhoz, és arról beszélgettünk, hogy mit fogunk csinálni jövőre, amikor a gyerekek már iskolába járnak. ",
+    "tr": "Dün akşam nehir kıyısında yürüyüşe çıktık ve gelecek yıl çocuklar okula başladığında ne yapacağımızı konuştuk. ",
+    "fi": "Eilen illalla menimme kävelylle joen rannalle ja puhuimme siitä, mitä teemme ensi vuonna, kun lapset menevät kouluun. ",
+    "vi": "Tối hôm qua chúng tôi đi dạo bên bờ sông và nói về những gì chúng tôi sẽ làm vào năm tới khi bọn trẻ bắt đầu đi học. ",
+    "gibberish": "xqzv kjwq zzxv wqpl bnmx tyqz hhgf vbzx plkq jwvx qqzt mnbv cxzq lkjh gfdq wzyx ",
+}
+
+
+def test_whole_texts_of_unseen_languages_are_rejected(spark, docs_of):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held = docs.where("crc32(cast(cast(doc_id as string) as binary)) % 4 = 2")
+    model = language_id.fit(docs.where("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2"))
+    unseen = docs_of([(i, t * 4, None) for i, t in enumerate(UNSEEN.values())])
+    assert all(r["rejected"] for r in language_id.identify(unseen, model, ["doc_id"]).collect())
+    own = language_id.identify(held, model, ["doc_id"]).collect()
+    assert np.mean([r["rejected"] for r in own]) < 0.01
+
+
 def auc(scores, labels):
     order = np.argsort(scores)
     ranks = np.empty(len(scores))
