@@ -4,7 +4,8 @@ Two words are alike by the three-character subsequences they share; a subsequenc
 may skip characters, each skipped one weighing ``DECAY``, so an insult with
 inserted or missing characters stays near the plain one. Landmark words span the
 kernel space (Nyström); a linear machine with squared hinge loss is trained on the
-words of labelled sentences, where a toxic document counts through its most toxic
+words of labelled sentences: all words of the clean documents, each counting as one
+document, as any single one would mark it; a toxic document counts through its most toxic
 word, chosen anew in each round, and through words that are telling on their own. A document's score is that of its most toxic
 word. Words are scored once for each task, however often they occur.
 """
@@ -12,6 +13,8 @@ word. Words are scored once for each task, however often they occur.
 from __future__ import annotations
 
 import re
+import tempfile
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,10 +26,6 @@ from starsift.llm.common import map_texts
 #: Labelled documents of each class that are learnt from, about.
 FIT_TOXIC, FIT_CLEAN = 1500, 3000
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 128, 128
-#: Different words of clean documents that the machine sees at most, the most frequent first.
-CLEAN_WORDS = 8_000
-#: Clean words closest to the toxic side that join the negatives after each round, at most.
-HARD_WORDS = 1_500
 #: A telling word of that many toxic documents counts as toxic in each of them.
 SURE_DOCUMENTS = 4
 DECAY = 0.5
@@ -39,6 +38,8 @@ WORD_CHARS = 32
 MEMO_WORDS = 300_000
 #: Words whose subsequences are held at once.
 BLOCK_WORDS = 5_000
+#: Words whose points in the kernel space are held at once.
+POINT_WORDS = 5_000
 
 #: Characters of a word that is spelt out: single ones between blanks, three or more.
 SPELT = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
@@ -127,25 +128,31 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
-def squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, penalty: float = PENALTY, rounds: int = 30) -> np.ndarray:
-    """Weights (bias last, unpenalized) of a linear machine with squared hinge loss, by Newton steps."""
-    size = x.shape[1] + 1
-    ridge = penalty * np.eye(size)
+#: Reads (points, labels, costs) block by block, each time anew.
+Blocks = Callable[[], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+
+
+def squared_hinge(blocks: Blocks, size: int, penalty: float = PENALTY, rounds: int = 30) -> np.ndarray:
+    """Weights (bias last, unpenalized) of a linear machine with squared hinge loss over ``size`` columns, by Newton steps.
+
+    The normal equations are sums over blocks, so memory is that of a block, however many points there are.
+    """
+    ridge = penalty * np.eye(size + 1)
     ridge[-1, -1] = 1e-9
-    w, last = np.zeros(size), None
+    w, last = np.zeros(size + 1), None
     for _ in range(rounds):
-        active = y * (x @ w[:-1] + w[-1]) < 1
-        if last is not None and (active == last).all():
-            break
-        left, right = ridge.copy(), np.zeros(size)
-        for at in range(0, len(x), 1000):  # few rows at a time: no second copy of the table
-            use = active[at : at + 1000]
-            xa = np.column_stack([x[at : at + 1000][use], np.ones(int(use.sum()))])
-            weighed = cost[at : at + 1000][use, None] * xa
+        left, right, now = ridge.copy(), np.zeros(size + 1), []
+        for x, y, cost in blocks():
+            active = y * (x @ w[:-1] + w[-1]) < 1
+            now.append(np.packbits(active))
+            xa = np.column_stack([x[active], np.ones(int(active.sum()))]).astype(np.float64)
+            weighed = cost[active, None] * xa
             left += xa.T @ weighed
-            right += weighed.T @ y[at : at + 1000][use]
+            right += weighed.T @ y[active]
+        if last is not None and all(map(np.array_equal, now, last)):
+            break
         w = np.linalg.solve(left, right)
-        last = active
+        last = now
     return w
 
 
@@ -244,26 +251,33 @@ def fit_rows(rows: list[tuple[str, int]]) -> ToxicityModel:
     vocabulary = sorted(toxic)
     sure = {w for w in telling if toxic[w] >= SURE_DOCUMENTS}
     chosen = [{max(bag, key=lambda w: (rate(w), w))} | sure.intersection(bag) for bag in positive_bags]
-    negatives = [w for w in common if w not in sure][:CLEAN_WORDS]
-    for _ in range(ROUNDS):
-        count: dict[str, float] = {}
-        for words in chosen:
-            for w in words:
-                count[w] = count.get(w, 0) + 1
-        kinds = sorted(count)
-        x = mapped(kinds + negatives)
-        y = np.concatenate([np.ones(len(kinds)), -np.ones(len(negatives))])
-        weight = np.array([count[w] for w in kinds])
-        cost = np.concatenate([weight / weight.sum(), np.full(len(negatives), 1 / len(negatives))])
-        weights = squared_hinge(x, y, cost)
-        by_landmark = root @ weights[:-1]
-        table = np.bincount(code, part * by_landmark[column], 1 << 18)
-        model = ToxicityModel(table, float(weights[-1]), 1.0, 0.0, blank.base)
-        margin = dict(zip(vocabulary, model.margins(vocabulary).tolist(), strict=True))
-        chosen = [{max(bag, key=lambda w: (margin[w], w))} | sure.intersection(bag) for bag in positive_bags]
-        near = model.margins(common)  # clean words on the wrong side join the negatives
-        hard = [common[i] for i in np.argsort(-near, kind="stable")[:HARD_WORDS] if near[i] > -1 and common[i] not in sure]
-        negatives = sorted({*negatives, *hard})
+    negatives = [w for w in common if w not in sure]
+    with tempfile.TemporaryFile() as file:  # the points of all clean words, read again block by block
+        for at in range(0, len(negatives), POINT_WORDS):
+            file.write(mapped(negatives[at : at + POINT_WORDS]).astype(np.float32).tobytes())
+        for _ in range(ROUNDS):
+            count: dict[str, float] = {}
+            for words in chosen:
+                for w in words:
+                    count[w] = count.get(w, 0) + 1
+            kinds = sorted(count)
+            weight = np.array([count[w] for w in kinds])
+
+            def blocks(kinds=kinds, weight=weight):
+                for at in range(0, len(kinds), POINT_WORDS):
+                    some = kinds[at : at + POINT_WORDS]
+                    yield mapped(some), np.ones(len(some)), weight[at : at + POINT_WORDS] / weight.sum()
+                file.seek(0)
+                while data := file.read(POINT_WORDS * root.shape[1] * 4):
+                    x = np.frombuffer(data, np.float32).reshape(-1, root.shape[1])
+                    yield x, -np.ones(len(x)), np.full(len(x), 1 / n_clean)
+
+            weights = squared_hinge(blocks, root.shape[1])
+            by_landmark = root @ weights[:-1]
+            table = np.bincount(code, part * by_landmark[column], 1 << 18)
+            model = ToxicityModel(table, float(weights[-1]), 1.0, 0.0, blank.base)
+            margin = dict(zip(vocabulary, model.margins(vocabulary).tolist(), strict=True))
+            chosen = [{max(bag, key=lambda w: (margin[w], w))} | sure.intersection(bag) for bag in positive_bags]
     vocabulary = sorted({*toxic, *clean})
     margin = dict(zip(vocabulary, model.margins(vocabulary).tolist(), strict=True))
     best = np.array([max((margin[w] for w in bag), default=-1.0) for bag in bags])

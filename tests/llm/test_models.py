@@ -94,6 +94,35 @@ def test_gapped_and_inserted_characters(insults, word):
     assert insult > 0.5 > plain
 
 
+def test_every_clean_word_is_a_negative(monkeypatch):
+    letters = "bcdfghjklmnprstvwz"
+    rare = [f"{a}{v}{b}{w}{c}" for a in letters for v in "aeiou" for b in letters for w in "ao" for c in letters[:6]]  # 19,440 words
+    rows = [(" ".join(rare[i : i + 100]), 0) for i in range(0, len(rare), 100)] + [(f"you are an idiot said number {x}", 1) for x in rare[:20]]
+    seen = []
+    solve = toxicity.squared_hinge
+
+    def spy(blocks, *args):
+        seen.append(sum(int((y < 0).sum()) for _, y, _ in blocks()))
+        return solve(blocks, *args)
+
+    monkeypatch.setattr(toxicity, "squared_hinge", spy)
+    model = toxicity.fit_rows(rows)
+    assert seen == [len(set(rare))] * toxicity.ROUNDS
+    insult, plain = toxicity.WordScores(model).scores(["an idiot", rare[-1]])
+    assert insult > 0.5 > plain
+
+
+def test_newton_steps_over_blocks_minimize_the_loss():
+    rng = np.random.default_rng(5)
+    x, noise = rng.normal(size=(400, 6)), rng.normal(size=400)
+    y, cost = np.where(x[:, 0] + 0.5 * noise > 0, 1.0, -1.0), rng.uniform(0.1, 1, 400)
+    blocks = lambda: ((x[i : i + 90], y[i : i + 90], cost[i : i + 90]) for i in range(0, 400, 90))
+    w = toxicity.squared_hinge(blocks, 6)
+    slack = np.maximum(0, 1 - y * (x @ w[:-1] + w[-1]))
+    slope = np.concatenate([toxicity.PENALTY * w[:-1], [0]]) - np.column_stack([x, np.ones(400)]).T @ (cost * slack * y)
+    assert np.abs(slope).max() < 1e-6
+
+
 def test_kernel_is_the_subsequence_kernel():
     words = ["cat", "caat", "dog", "concatenate"]
     k = toxicity.kernel(words, words)
