@@ -81,6 +81,24 @@ def isotonic_fit(spark, sf):
     return rounded(fitted.select(F.col("at").alias("score"), F.col("score").alias("calibrated")))
 
 
+@query("M19")
+def isotonic_curve(spark, sf):
+    """The fitted isotonic curve at all calibration scores as they are.
+
+    No SQL: comparing all runs of scores grows with their square. A test compares the
+    curve with that form on few rows.
+    """
+    rows = scored(spark, sf).where(F.col("part") == "calib")
+    return isotonic_points(rows.select("score", "label"))
+
+
+def isotonic_points(rows):
+    """(score, calibrated) of each distinct score of (score, label) rows; the score is not rounded."""
+    points = rows.select("score").distinct()
+    fitted = calibration.isotonic_scores(rows, points.withColumn("at", F.col("score")))
+    return fitted.select(F.col("at").alias("score"), F.round("score", 6).alias("calibrated"))
+
+
 def stand_in_scorer(featured):
     """Fixed linear form on the serving features."""
     z = -1.6 + 0.9 * (F.col("star_rating") == 5).cast("int") + 1.3 * (1 - F.col("verified_purchase_int"))

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
@@ -134,6 +135,21 @@ def test_calibrated_scores(spark):
     assert report["sigmoid_platt"]["ece"] < report["raw"]["ece"]
 
 
+def test_isotonic_curve_takes_scores_as_they_are(spark):
+    from starsift.plans.model_queries import isotonic_points
+
+    rng = np.random.default_rng(8)
+    rows = [(0.5 + int(i) * 1e-6, int(rng.random() < i / 300)) for i in rng.integers(0, 300, 500)]
+    got = {r["score"]: r["calibrated"] for r in isotonic_points(spark.createDataFrame(rows, "score double, label int")).collect()}
+    scores = sorted({s for s, _ in rows})
+    w = [sum(s == p for s, _ in rows) for p in scores]
+    wy = [sum(y for s, y in rows if s == p) for p in scores]
+    cw, cy = np.concatenate([[0], np.cumsum(w)]), np.concatenate([[0], np.cumsum(wy)])
+    want = [max(min((cy[e] - cy[b]) / (cw[e] - cw[b]) for e in range(i + 1, len(scores) + 1)) for b in range(i + 1)) for i in range(len(scores))]
+    assert len(got) == len(scores) > 101
+    assert np.allclose([got[p] for p in scores], want, atol=1e-6)
+
+
 def test_isotonic_interpolates_and_clips(spark):
     calib = scores(spark, [(0, 0.2), (1, 0.6)])
     held = scores(spark, [(0, 0.0), (0, 0.4), (0, 0.9)])
