@@ -129,9 +129,109 @@ FROM d LEFT JOIN f USING (rn) GROUP BY d.rn, doc_id
 """
 
 
+#: CRC-32 of the text of ``id``, from a table made by its rule.
+CRC_TABLE = """crc_table AS (SELECT list(c ORDER BY i) AS tbl FROM (SELECT i, list_reduce(list_concat([i], range(8)),
+    lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i)))"""
+
+
+def crc(column: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST({column} AS VARCHAR), ''),
+    lambda ch: CAST(ord(ch) AS BIGINT))), lambda a, x: xor(tbl[CAST(xor(a, x) & 255 AS INT) + 1], a >> 8)))"""
+
+
+TRIE = rf"""
+WITH {CRC_TABLE},
+t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS mark FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, mark) AS pos FROM t),
+c AS (SELECT c, c - c % 5 AS base, {crc("c")} % 9 AS h FROM (SELECT DISTINCT c FROM t), crc_table),
+r0 AS (SELECT c.c, 0 AS part, o.pos, o.role, o.text FROM c JOIN o ON o.c = c.base AND o.pos <= c.h
+  UNION ALL SELECT c.c, 1, o.pos, o.role, o.text FROM c JOIN o ON o.c = c.c AND o.pos > c.h),
+r AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, concat(strlen(role), ':', strlen(text), ':', role, text) AS said, strlen(text) AS n FROM r0),
+p AS (SELECT c, d, n, sha256(string_agg(said, '' ) OVER (PARTITION BY c ORDER BY d)) AS node FROM r
+  UNION ALL SELECT c, 0, 0, 'root' FROM c),
+up AS (SELECT p.*, q.node AS above, e.last FROM p LEFT JOIN p q ON q.c = p.c AND q.d = p.d - 1 JOIN (SELECT c, max(d) AS last FROM p GROUP BY c) e ON e.c = p.c),
+nodes AS (SELECT node, d AS depth, min(c) AS conv_id, min(above) AS above, min(n) AS n, count(*) AS n_convs,
+  coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = last), '') AS ends, count(*) FILTER (WHERE d = last) AS n_ends FROM up GROUP BY node, d),
+kids AS (SELECT above AS node, count(*) AS n_children FROM nodes WHERE above IS NOT NULL GROUP BY above),
+whole AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (node)),
+below AS (SELECT DISTINCT a.node AS top, b.node FROM p a JOIN p b ON b.c = a.c AND b.d >= a.d),
+sums AS (SELECT top AS node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * n) AS saved FROM below JOIN whole USING (node) GROUP BY top)
+SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, w.n_ends, sha256(w.ends) AS ends_sha256
+FROM whole w JOIN sums USING (node) LEFT JOIN whole u ON u.node = w.above
+"""
+
+LINES = r"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT rn, i, lines[i] AS line, translate(regexp_replace(lines[i], '^[ 	-]+|[ 	-]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM (SELECT rn, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+often AS (SELECT key FROM (SELECT DISTINCT rn, key FROM l WHERE length(key) >= 1) GROUP BY key HAVING count(*) >= 10),
+kept AS (SELECT rn, string_agg(line, chr(10) ORDER BY i) AS kept, count(*) AS n FROM l ANTI JOIN often USING (key) GROUP BY rn)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rn)
+"""
+
+
+def manifest(levels: int = 8) -> str:
+    """Level by level, for groups of up to 8 ^ ``levels`` rows: a node is raised while its tree has several."""
+
+    def tree(name: str, leaves: str) -> str:
+        """Nodes (grp, place, n, node) of each level, the runs they stand in, and what a node becomes."""
+        out = [f"{name}0 AS ({leaves})"]
+        for i in range(levels):
+            out.append(f"""{name}{i + 1} AS (SELECT grp, CAST(floor(place / 8) AS BIGINT) AS place, CAST(ceil(any_value(n) / 8.0) AS BIGINT) AS n,
+  CASE WHEN any_value(n) > 1 THEN sha256(string_agg(node, '' ORDER BY place)) ELSE any_value(node) END AS node FROM {name}{i} GROUP BY grp, floor(place / 8))""")
+        return ",\n".join(out)
+
+    def siblings(name: str, i: int, place: str, grp: str) -> tuple[str, str]:
+        """Runs of a level joined by a leaf's place, as a list of nodes."""
+        alias = f"{name}r{i}"
+        join = f"""LEFT JOIN (SELECT grp, CAST(floor(place / 8) AS BIGINT) AS run, any_value(n) AS n, list(node ORDER BY place) AS nodes FROM {name}{i} GROUP BY grp, floor(place / 8)) {alias}
+  ON {alias}.grp IS NOT DISTINCT FROM {grp} AND {alias}.run = CAST(floor({place} / {8 ** (i + 1)}) AS BIGINT)"""
+        at = f"CAST(floor({place} / {8 ** i}) AS BIGINT) % 8"
+        left = f"array_to_string({alias}.nodes[1 : {at}], '')"
+        right = f"array_to_string({alias}.nodes[{at} + 2 : 8], '')"
+        return join, f"CASE WHEN {alias}.n > 1 THEN struct_pack(l := {left}, r := {right}) END"
+
+    def field(c: str, text: str) -> str:
+        return f"coalesce(concat(strlen({text}), ':', {text}), '-')"
+
+    def leaf(text: str) -> str:
+        cast = {"doc_id": "CAST(doc_id AS VARCHAR)", "source": "source", "lang": "lang", "n_chars": "CAST(n_chars AS VARCHAR)", "text": text}
+        return f"sha256(concat({', '.join(field(c, t) for c, t in cast.items())}))"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    joins, steps = [], []
+    for name, place, grp in (("a", "x.place", "x.grp"), ("b", "y.place", "0")):
+        for i in range(levels):
+            join, step = siblings(name, i, place, grp)
+            joins.append(join)
+            steps.append(step)
+    return f"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, lang, {leaf("text")} AS leaf, CASE WHEN {crc("doc_id")} % 3 = 0 THEN {leaf(lowered)} ELSE {leaf("text")} END AS changed FROM documents, crc_table),
+x AS (SELECT *, lang AS grp, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM d),
+{tree("a", "SELECT grp, place, n, leaf AS node FROM x")},
+y AS (SELECT grp, node AS subroot, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM a{levels}),
+{tree("b", "SELECT 0 AS grp, place, n, subroot AS node FROM y")},
+proofs AS (SELECT x.doc_id, x.leaf, x.changed, y.subroot, list_filter([{", ".join(steps)}], lambda s: s IS NOT NULL) AS steps
+  FROM x JOIN y ON y.grp IS NOT DISTINCT FROM x.grp
+  {" ".join(joins)}),
+folded AS (SELECT p.*, (SELECT node FROM b{levels}) AS root, list_reduce(list_concat([struct_pack(l := changed, r := '')], steps),
+    lambda node, s: struct_pack(l := sha256(concat(s.l, node.l, s.r)), r := '')).l AS folded_root FROM proofs p)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: concat(s.l, s.r)), '')) AS proof_sha256, folded_root,
+  folded_root = root AS verified
+FROM folded
+"""
+
+
 SQL: dict[str, str] = {
     "op1_decontaminate": CONTAMINATION,
     "op4_url_filter": urls(),
     "op9_quality_ledger": quality(),
     "op10_secret_scan": secrets(),
+    "op11_prefix_trie": TRIE,
+    "op12_line_dedup": LINES,
+    "op13_merkle_manifest": manifest(),
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from starsift.llm import (
-    chunk_codec, decontaminate, language_id, packing, quality_ledger, secret_scan, simhash_dedup, token_counts, toxicity,
+    chunk_codec, conversation_trie, decontaminate, language_id, line_dedup, merkle_manifest, packing, quality_ledger, secret_scan, simhash_dedup, token_counts, toxicity,
     url_filter,
 )
 from starsift.llm.common import crc_mod, table
@@ -105,6 +105,24 @@ def op10_secret_scan(spark, sf):
     )
 
 
+def op11_prefix_trie(spark, sf):
+    """Nodes of the trie of rebuilt conversations."""
+    return conversation_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+def op12_line_dedup(spark, sf):
+    """Lines of every document that are frequent in all documents, dropped."""
+    found = line_dedup.dedup_lines(table(spark, sf, "documents"), ["doc_id"])
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_merkle_manifest(spark, sf):
+    """Leaf, roots and proof of every document, and what a tampered leaf folds to."""
+    docs = table(spark, sf, "documents")
+    rows = merkle_manifest.verify(merkle_manifest.manifest(docs, tampered=merkle_manifest.lower_cased_text(docs)))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def pipeline(spark, sf):
     """All stages of ``corpus_pipeline``."""
     import corpus_pipeline
@@ -116,6 +134,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_packing, op3_bpe_codec, op4_url_filter, op5_language_id, op6_simhash_dedup,
-        op7_token_counts, op8_toxicity, op9_quality_ledger, op10_secret_scan, pipeline,
+        op7_token_counts, op8_toxicity, op9_quality_ledger, op10_secret_scan, op11_prefix_trie, op12_line_dedup,
+        op13_merkle_manifest, pipeline,
     )
 }
