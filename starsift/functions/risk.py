@@ -86,5 +86,6 @@ def rate_band(rate: Column) -> Column:
 def one_line(sentiment: Column, proba: Column, flagged: Column) -> Column:
     """Sentence with sentiment, percentage and outcome."""
     ending = F.when(flagged == 1, "FLAGGED as suspicious.").otherwise("looks clean.")
-    percent = F.format_string("%.1f%%", proba * 100)
+    # Unlike format_string, this rounds the double itself and not its shortest decimal form.
+    percent = F.concat(F.format_number(proba * 100, 1), F.lit("%"))
     return F.concat(F.lit("Review is "), sentiment, F.lit(". Fraud probability is "), percent, F.lit(" — "), ending)

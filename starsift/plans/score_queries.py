@@ -290,19 +290,19 @@ def roc_auc_documents(spark, sf):
        ORDER BY s.review_id LIMIT 25""",
 )
 def sentiment_errors(spark, sf):
-    rows = metrics.sentiment_errors(sentiment_predictions(spark, sf, "review_body_clean"))
+    rows = metrics.sentiment_errors(sentiment_predictions(spark, sf))
     body = F.md5(F.col("review_body_clean").cast("binary")).alias("body_md5")
     return rows.select("review_id", body, "true_label", "pred_label")
 
 
 @query(
     "E8",
-    """SELECT review_id, star_rating, helpful_votes, total_votes, label AS true_label, pred AS pred_label,
-         score AS fraud_proba FROM scored WHERE label <> pred""",
+    """SELECT s.review_id, md5(review_body_clean) AS body_md5, s.star_rating, s.helpful_votes, s.total_votes, label AS true_label,
+         pred AS pred_label, score AS fraud_proba FROM scored s JOIN clean USING (review_id) WHERE label <> pred""",
 )
 def fraud_errors(spark, sf):
-    rows = scored(spark, sf).withColumn("fraud_proba", F.col("score"))
-    return metrics.fraud_errors(rows, max_rows=None)
+    rows = metrics.fraud_errors(scored(spark, sf).withColumn("fraud_proba", F.col("score")), max_rows=None)
+    return rows.withColumn("body_md5", F.md5(F.col("review_body_clean").cast("binary"))).drop("review_body_clean")
 
 
 @query("A9", "SELECT count(*) FILTER (WHERE label <> pred) AS errors FROM scored")

@@ -91,7 +91,7 @@ _PROMO = " OR ".join("contains(lower(review_body), '{}')".format(p.replace("'",
       SELECT review_id, CASE level WHEN 'low' THEN '{SUMMARIES["low"]}' WHEN 'high' THEN '{SUMMARIES["high"]}'
           ELSE '{SUMMARIES["medium"]}' END AS summary, false AS llm_generated, level AS risk_level,
         score AS fraud_proba, pred AS fraud_flag, star_rating, verified_purchase_int, body_word_count, exclam_count, promo,
-        concat('Review is ', sentiment, '. Fraud probability is ', printf('%.1f', floor(score * 1000 + 0.5) / 10), '% — ',
+        concat('Review is ', sentiment, '. Fraud probability is ', printf('%.1f', score * 100), '% — ',
           CASE WHEN pred = 1 THEN 'FLAGGED as suspicious.' ELSE 'looks clean.' END) AS sentence
       FROM levelled""",
 )

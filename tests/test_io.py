@@ -177,15 +177,22 @@ def test_registry_imports_without_a_session():
     assert all(q.covers for q in queries.values())
 
 
-@pytest.mark.parametrize("name", ["top_fraud_reviewers", "calibration_report", "product_audit", "tfidf_by_gram"])
-def test_queries_match_sql(spark, name):
+@pytest.fixture(scope="module")
+def tables():
     duckdb = pytest.importorskip("duckdb")
-    from check_queries import TABLES, rows_of
+    from check_queries import TABLES
 
     db = duckdb.connect()
     for table in TABLES:
         db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMOKE}/{table}.parquet'")
+    return db
+
+
+@pytest.mark.parametrize("name", sorted(n for n, q in all_queries().items() if q.sql is not None))
+def test_queries_match_sql(spark, tables, name):
+    from check_queries import rows_of
+
     query = all_queries()[name]
-    got, want = query.run(spark, SMOKE).toPandas(), db.sql(query.sql).df()
+    got, want = query.run(spark, SMOKE).toPandas(), tables.sql(query.sql).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows_of(got) == rows_of(want)
