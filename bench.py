@@ -87,7 +87,7 @@ def main() -> None:
     timed("drift_summary", lambda: drift.drift_summary(train, test).collect())
     vocab = text_features.vocabulary(test, 10, 0.95, 15_000)
     timed("vocabulary", lambda: vocab.write.format("noop").mode("overwrite").save(), 1)
-    weights = text_features.tfidf(test, vocab, 15_000)
+    weights = text_features.tfidf(test, vocab)
     timed("tfidf", lambda: weights.write.format("noop").mode("overwrite").save(), 1)
     rows = reviews.count()
     release_stages(spark)

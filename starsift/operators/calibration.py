@@ -10,7 +10,9 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starsift.operators.isotonic import isotonic_blocks
 from starsift.operators.metrics import fraud_evaluation
+from starsift.staging import stage
 
 BINS = 10
 
@@ -91,12 +93,17 @@ def best_calibration(report: DataFrame) -> DataFrame:
     return report.orderBy(F.asc_nulls_last("brier"), F.asc_nulls_last("ece"), "method").limit(1)
 
 
-def platt_scores(calib: DataFrame, holdout: DataFrame, n_calib: int) -> DataFrame:
-    """Holdout scores through a logistic regression on the calibration scores (C = 1)."""
+def platt_model(calib: DataFrame, n_calib: int):
+    """Logistic regression on the calibration scores (C = 1)."""
     point = array_to_vector(F.array("score")).alias("features")
-    fitted = LogisticRegression(maxIter=100, regParam=1.0 / max(n_calib, 1), standardization=False).fit(
+    return LogisticRegression(maxIter=100, regParam=1.0 / max(n_calib, 1), standardization=False).fit(
         calib.select(point, F.col("label").cast("double"))
     )
+
+
+def platt_scores(calib: DataFrame, holdout: DataFrame, n_calib: int) -> DataFrame:
+    """Holdout scores through the logistic regression on the calibration scores."""
+    fitted = platt_model(calib, n_calib)
     scored = fitted.transform(holdout.withColumn("features", array_to_vector(F.array("score"))))
     kept = [c for c in holdout.columns if c != "score"]
     return scored.select(*kept, F.get(vector_to_array("probability"), 1).alias("score"))
@@ -105,13 +112,12 @@ def platt_scores(calib: DataFrame, holdout: DataFrame, n_calib: int) -> DataFram
 def isotonic_scores(calib: DataFrame, holdout: DataFrame) -> DataFrame:
     """Holdout scores through isotonic regression; outside the fitted range the end values hold.
 
-    Equal scores are pooled beforehand, which leaves the fit unchanged and hands
-    the solver one weighted row per distinct score.
+    The curve is fitted in parts; what Spark's model receives to interpolate from are
+    the two ends of each level, which are monotone already.
     """
-    pooled = calib.groupBy("score").agg(
-        F.avg(F.col("label").cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight")
-    )
-    fitted = IsotonicRegression(featuresCol="score", labelCol="label", weightCol="weight").fit(pooled)
+    level = F.col("total") / F.col("weight")
+    ends = isotonic_blocks(calib).select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias("score"), level.alias("label"))
+    fitted = IsotonicRegression(featuresCol="score", labelCol="label").fit(stage(ends, "isotonic-curve"))
     kept = [c for c in holdout.columns if c != "score"]
     return fitted.transform(holdout).select(*kept, F.col("prediction").alias("score"))
 

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsift.functions.text import with_pairs, words
+from starsift.operators.ordering import running_before
 from starsift.staging import stage
 
-# A vocabulary up to this many grams (tens of megabytes) is broadcast; a larger
-# or uncapped one is joined by shuffle.
+# A vocabulary of up to this many grams (tens of megabytes) is broadcast.
 BROADCAST_GRAMS = 200_000
 
 
@@ -62,28 +62,32 @@ def vocabulary(
     return kept.withColumn("idf", F.log(F.lit(1.0 + n) / (F.col("df") + 1)) + 1)
 
 
-def tfidf(
-    docs: DataFrame,
-    vocab: DataFrame,
-    max_features: int | None = 50_000,
-    sublinear: bool = True,
-    key: str = "review_id",
-    text: str = "review_body_clean",
-) -> DataFrame:
-    """(key, gram, tf, weight), weights of one document having length 1.
+def gram_index(vocab: DataFrame) -> DataFrame:
+    """The vocabulary with ``idx``, the rank of a gram in byte order, from 0 on.
+
+    Ranks come from range partitions and the sizes of those before, so a vocabulary of
+    any size is numbered without meeting in one task or on the driver.
+    """
+    ranked = running_before(vocab.withColumn("_one", F.lit(1)), "gram", "_one", out="idx")
+    return stage(ranked.withColumn("idx", F.col("idx").cast("int")).drop("_one"), "gram-index")
+
+
+def tfidf(docs: DataFrame, vocab: DataFrame, sublinear: bool = True, key: str = "review_id", text: str = "review_body_clean") -> DataFrame:
+    """(key, gram, tf, weight), and ``idx`` where the vocabulary has it; weights of one document having length 1.
 
-    ``max_features`` is the cap the vocabulary was made with; it bounds the
-    broadcast, and then unknown grams fall out before they are counted. A
-    document's grams are bounded by its own text, so the window over them is no
-    larger than the row they came from.
+    The vocabulary is written and counted: up to ``BROADCAST_GRAMS`` it is broadcast,
+    and unknown grams fall out before they are counted; beyond, counts meet it by a
+    shuffle. A document's grams are bounded by its own text, so the window over them
+    is no larger than the row they came from.
     """
-    known = stage(vocab.select("gram", "idf"), "vocabulary")
-    if max_features is not None and max_features <= BROADCAST_GRAMS:
+    about = [c for c in ("idx",) if c in vocab.columns]
+    known = stage(vocab.select("gram", "idf", *about), "vocabulary")
+    if known.count() <= BROADCAST_GRAMS:
         hits = grams_of(placed_by_key(docs, key, text), key, text).join(F.broadcast(known), "gram")
-        counts = hits.groupBy(key, "gram", "idf").agg(F.count(F.lit(1)).alias("tf"))
+        counts = hits.groupBy(key, "gram", "idf", *about).agg(F.count(F.lit(1)).alias("tf"))
     else:
         counts = gram_counts(docs, key, text).join(known, "gram")
     tf = 1 + F.log("tf") if sublinear else F.col("tf")
-    raw = counts.select(key, "gram", "tf", (tf * F.col("idf")).alias("raw"))
+    raw = counts.select(key, "gram", "tf", *about, (tf * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
-    return raw.select(key, "gram", "tf", (F.col("raw") / norm).alias("weight"))
+    return raw.select(key, "gram", "tf", *about, (F.col("raw") / norm).alias("weight"))

@@ -10,26 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    NaiveBayes,
-    OneVsRest,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import CountVectorizer, NGram, RegexTokenizer, SQLTransformer, VectorAssembler
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.feature import CountVectorizerModel, NGram, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starsift.operators import metrics, thresholds
+from starsift.operators import metrics, naive_bayes, thresholds, trees
 from starsift.operators.calibration import tag_and_union
-from starsift.operators.preparation import majority_class, with_class_weight
+from starsift.operators.preparation import majority_class, scale_by_deviation, with_class_weight
 from starsift.operators.serving import prediction_columns, serving_features
-from starsift.operators.vectors import PopulationScaler, SmoothTfIdf
+from starsift.operators.text_features import gram_index, tfidf, vocabulary
+from starsift.operators.vectors import PopulationScaler, SmoothTfIdfModel, packed, stage_vectors
 from starsift.schemas import FRAUD_TARGET, MODEL_NUMERIC_FEATURES, NUMERIC_FEATURES, SENTIMENT_TARGET, TEXT_COLUMN
 from starsift.staging import stage
 
@@ -43,33 +38,35 @@ class TextSettings:
 
     min_df: int
     max_df: float
-    max_features: int
+    max_features: int | None
     sublinear: bool = True
 
 
 SENTIMENT_TEXT = TextSettings(10, 0.9, 50_000)
 FRAUD_TEXT = TextSettings(10, 0.95, 15_000)
 ABLATION_TEXT = TextSettings(3, 0.95, 20_000)
-# The baselines have no cap: the largest number CountVectorizer takes stands for none.
-UNCAPPED = (1 << 31) - 1
-BASELINE_SENTIMENT_TEXT = TextSettings(3, 0.9, UNCAPPED, sublinear=False)
-BASELINE_FRAUD_TEXT = TextSettings(3, 0.95, UNCAPPED, sublinear=False)
+# The baselines' vocabularies have no cap; they are tables throughout.
+BASELINE_SENTIMENT_TEXT = TextSettings(3, 0.9, None, sublinear=False)
+BASELINE_FRAUD_TEXT = TextSettings(3, 0.95, None, sublinear=False)
 
 
-def text_stages(settings: TextSettings, out: str = "text_vector") -> list:
-    """Words, neighbour pairs, counts, TF-IDF."""
+def text_stages(train: DataFrame, settings: TextSettings, out: str = "text_vector") -> list:
+    """Fitted stages of a saved pipeline: words, neighbour pairs, counts, TF-IDF.
+
+    They rest on the table ``vocabulary`` gives. A saved pipeline carries its grams, so
+    they reach the driver; only settings with a cap can be fitted this way.
+    """
+    if settings.max_features is None:
+        raise ValueError("a saved pipeline needs a capped vocabulary")
+    index = gram_index(vocabulary(train, settings.min_df, settings.max_df, settings.max_features, TEXT_COLUMN))
+    grams = sorted((r["idx"], r["gram"], r["idf"]) for r in index.select("idx", "gram", "idf").collect())
+    names = [g for _, g, _ in grams] or [""]
     return [
         RegexTokenizer(inputCol=TEXT_COLUMN, outputCol="_words", pattern=r"\w\w+", gaps=False),
         NGram(n=2, inputCol="_words", outputCol="_pairs"),
         SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _grams FROM __THIS__"),
-        CountVectorizer(
-            inputCol="_grams",
-            outputCol="_counts",
-            minDF=float(settings.min_df),
-            maxDF=settings.max_df,
-            vocabSize=settings.max_features,
-        ),
-        SmoothTfIdf(inputCol="_counts", outputCol=out, sublinear=settings.sublinear),
+        CountVectorizerModel.from_vocabulary(names, inputCol="_grams", outputCol="_counts"),
+        SmoothTfIdfModel(inputCol="_counts", outputCol=out, sublinear=settings.sublinear, idf=[float(w) for _, _, w in grams] or [1.0]),
     ]
 
 
@@ -80,16 +77,16 @@ def numeric_stages(columns: Sequence[str], out: str = "numeric_vector") -> list:
     ]
 
 
-def hybrid_stages(settings: TextSettings, columns: Sequence[str]) -> list:
+def hybrid_stages(train: DataFrame, settings: TextSettings, columns: Sequence[str]) -> list:
     join = VectorAssembler(inputCols=["text_vector", "numeric_vector"], outputCol="features")
-    return [*text_stages(settings), *numeric_stages(columns), join]
+    return [*text_stages(train, settings), *numeric_stages(columns), join]
 
 
 @dataclass
 class Prepared:
-    """Fitted feature stages and the staged vectors of both parts."""
+    """Fitted feature stages, where there are any, and the staged vectors of both parts."""
 
-    features: PipelineModel
+    features: PipelineModel | None
     train: DataFrame
     test: DataFrame
     n_train: int
@@ -108,6 +105,48 @@ def prepare(stages: list, train: DataFrame, test: DataFrame, target: str) -> Pre
     return Prepared(fitted, train_v, test_v, train_v.count(), test_v.count())
 
 
+@dataclass
+class TextTables:
+    """The numbered vocabulary of the training part, and the weights of both parts as (review_id, gram, idx, weight)."""
+
+    index: DataFrame
+    n_grams: int
+    train: DataFrame
+    test: DataFrame
+
+
+def text_tables(train: DataFrame, test: DataFrame, settings: TextSettings) -> TextTables:
+    index = gram_index(vocabulary(train, settings.min_df, settings.max_df, settings.max_features, TEXT_COLUMN))
+    weights = [stage(tfidf(part, index, settings.sublinear, text=TEXT_COLUMN).drop("tf"), "text-weights") for part in (train, test)]
+    return TextTables(index, index.count(), *weights)
+
+
+def packed_vectors(rows: DataFrame, weights: DataFrame, n_grams: int, target: str, numbers: Sequence[str] = ()) -> DataFrame:
+    """(review_id, label, features) as written vectors: the weights by gram number, then the columns ``numbers``."""
+    lists = weights.groupBy("review_id").agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("pairs"))
+    none = F.array().cast("array<struct<idx:int,weight:double>>")
+    joined = rows.join(lists, "review_id", "left").withColumn("pairs", F.coalesce("pairs", none))
+    tail = F.filter(F.array(*[F.struct(F.lit(n_grams + i).alias("idx"), F.col(c).cast("double").alias("weight")) for i, c in enumerate(numbers)]), lambda x: x["weight"] != 0)
+    pairs = F.concat("pairs", tail) if numbers else F.col("pairs")
+    full = joined.select("review_id", F.col(target).cast("double").alias("label"), pairs.alias("pairs"))
+    vector = packed(F.lit(n_grams + len(numbers)), F.col("pairs.idx"), F.col("pairs.weight")).alias("features")
+    return stage_vectors(full.select("review_id", "label", vector), "packed-vectors")
+
+
+def prepare_tables(text: TextTables, train: DataFrame, test: DataFrame, target: str, numbers: Sequence[str] = ()) -> Prepared:
+    """Vectors from tables, whatever the size of the vocabulary; numbers are scaled by their deviation in the training part."""
+    parts = [scale_by_deviation(part, numbers, train) if numbers else part for part in (train, test)]
+    train_v, test_v = (packed_vectors(part, w, text.n_grams, target, numbers) for part, w in zip(parts, (text.train, text.test), strict=True))
+    return Prepared(None, with_class_weight(train_v, "label"), test_v, train_v.count(), test_v.count())
+
+
+def entries_of(rows: DataFrame, weights: DataFrame, n_grams: int, numbers: Sequence[str]) -> DataFrame:
+    """(review_id, idx, value): the weights, and the numbers that are not 0 after them."""
+    pairs = F.array(*[F.struct(F.lit(n_grams + i).alias("idx"), F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("value")) for i, c in enumerate(numbers)])
+    own = rows.select("review_id", F.inline(pairs)).where("value <> 0")
+    return weights.select("review_id", "idx", F.col("weight").alias("value")).unionByName(own)
+
+
 def logistic(n: int, c: float, max_iter: int, balanced: bool = True) -> LogisticRegression:
     """Logistic regression with penalty C on n rows."""
     clf = LogisticRegression(maxIter=max_iter, regParam=1.0 / (c * max(n, 1)), standardization=False)
@@ -132,17 +171,40 @@ def predictions(model: Transformer, vectors: DataFrame) -> DataFrame:
     )
 
 
+@dataclass
+class Regression:
+    """A fitted regression, the feature stages before it, and the vectors it was fitted to and is tested on."""
+
+    model: Transformer
+    features: PipelineModel
+    rows: DataFrame
+    test: DataFrame
+    n_test: int
+
+
+def sentiment_regression(train: DataFrame, test: DataFrame, settings: TextSettings = SENTIMENT_TEXT, max_iter: int = 100) -> tuple[Regression, int]:
+    """(multinomial regression on the text, training rows)."""
+    ready = prepare(text_stages(train, settings, out="features"), train, test, SENTIMENT_TARGET)
+    model = logistic(ready.n_train, 2.0, max_iter).setFamily("multinomial").fit(ready.train)
+    return Regression(model, ready.features, ready.train, ready.test, ready.n_test), ready.n_train
+
+
 def train_sentiment(
     train: DataFrame, test: DataFrame, settings: TextSettings = SENTIMENT_TEXT, max_iter: int = 100
 ) -> tuple[PipelineModel, DataFrame]:
     """(pipeline, one-row summary with macro and weighted F1)."""
-    text_only = text_stages(settings, out="features")
-    ready = prepare(text_only, train, test, SENTIMENT_TARGET)
-    model = logistic(ready.n_train, 2.0, max_iter).setFamily("multinomial").fit(ready.train)
-    summary = metrics.multiclass_summary(predictions(model, ready.test)).withColumns(
-        {"model_name": F.lit("logreg+tfidf"), "n_train": F.lit(ready.n_train), "n_test": F.lit(ready.n_test)}
+    found, n = sentiment_regression(train, test, settings, max_iter)
+    summary = metrics.multiclass_summary(predictions(found.model, found.test)).withColumns(
+        {"model_name": F.lit("logreg+tfidf"), "n_train": F.lit(n), "n_test": F.lit(found.n_test)}
     )
-    return PipelineModel([*ready.features.stages, model]), summary
+    return PipelineModel([*found.features.stages, found.model]), summary
+
+
+def fraud_regression(train: DataFrame, test: DataFrame, settings: TextSettings = FRAUD_TEXT, max_iter: int = 80) -> tuple[Regression, int]:
+    """(binary regression on text and behaviour, training rows)."""
+    ready = prepare(hybrid_stages(train, settings, MODEL_NUMERIC_FEATURES), train, test, FRAUD_TARGET)
+    model = logistic(ready.n_train, 1.0, max_iter).fit(ready.train)
+    return Regression(model, ready.features, ready.train, ready.test, ready.n_test), ready.n_train
 
 
 def train_fraud(
@@ -156,30 +218,29 @@ def train_fraud(
 
     The descent candidate is chosen only with a strictly higher F1.
     """
-    ready = prepare(hybrid_stages(settings, MODEL_NUMERIC_FEATURES), train, test, FRAUD_TARGET)
-    candidates = {
-        "logreg+tfidf+behavior": logistic(ready.n_train, 1.0, max_iter),
-        "sgd+tfidf+behavior": log_loss_descent(max_iter=descent_iter),
+    found, n = fraud_regression(train, test, settings, max_iter)
+    fitted = {
+        "logreg+tfidf+behavior": found.model,
+        "sgd+tfidf+behavior": log_loss_descent(max_iter=descent_iter).fit(found.rows),
     }
-    fitted = {name: clf.fit(ready.train) for name, clf in candidates.items()}
-    scored = tag_and_union({n: predictions(m, ready.test) for n, m in fitted.items()}, "model_name")
+    scored = tag_and_union({n: predictions(m, found.test) for n, m in fitted.items()}, "model_name")
     report = stage(metrics.fraud_evaluation(scored, ["model_name"]), "fraud-candidates")
     f1 = {row["model_name"]: row["f1"] for row in report.select("model_name", "f1").collect()}
-    first, second = candidates
+    first, second = fitted
     chosen = second if f1[second] > f1[first] else first
-    share = ready.train.agg(F.avg("label")).first()[0]
+    share = found.rows.agg(F.avg("label")).first()[0]
     summary = report.withColumns(
         {
             "selected": F.col("model_name") == chosen,
             "fraud_share_train": F.lit(share),
-            "n_train": F.lit(ready.n_train),
-            "n_test": F.lit(ready.n_test),
+            "n_train": F.lit(n),
+            "n_test": F.lit(found.n_test),
         }
     )
-    return PipelineModel([*ready.features.stages, fitted[chosen]]), summary
+    return PipelineModel([*found.features.stages, fitted[chosen]]), summary
 
 
-def _constant(majority: DataFrame, vectors: DataFrame) -> DataFrame:
+def constant_predictions(majority: DataFrame, vectors: DataFrame) -> DataFrame:
     """Every row predicted as the majority class."""
     label = majority.first()["label"]
     return vectors.select(
@@ -190,81 +251,126 @@ def _constant(majority: DataFrame, vectors: DataFrame) -> DataFrame:
     )
 
 
-def sentiment_baselines(
-    train: DataFrame, test: DataFrame, settings: TextSettings = BASELINE_SENTIMENT_TEXT, max_iter: int = 400
-) -> DataFrame:
-    """(task, model_name, f1_macro, f1_weighted) for majority, naive Bayes, logistic regression and linear SVM."""
-    ready = prepare(text_stages(settings, out="features"), train, test, SENTIMENT_TARGET)
-    svm = LinearSVC(maxIter=max_iter, regParam=1.0 / max(ready.n_train, 1), standardization=False)
-    models = {
-        "tfidf_naive_bayes": NaiveBayes(modelType="multinomial", smoothing=1.0),
-        "tfidf_logistic_regression": logistic(ready.n_train, 1.0, max_iter).setFamily("multinomial"),
-        "tfidf_linear_svm": OneVsRest(classifier=svm),
-    }
-    outcomes = {name: predictions(clf.fit(ready.train), ready.test) for name, clf in models.items()}
-    outcomes["majority_baseline"] = _constant(majority_class(ready.train, "label"), ready.test)
+class SentimentBaselines:
+    """The sentiment baselines; vectors and weights are made once, each model is a method that returns its predictions."""
+
+    def __init__(self, train: DataFrame, test: DataFrame, settings: TextSettings = BASELINE_SENTIMENT_TEXT, max_iter: int = 400):
+        self.text, self.max_iter = text_tables(train, test, settings), max_iter
+        self.ready = prepare_tables(self.text, train, test, SENTIMENT_TARGET)
+
+    def majority_baseline(self) -> DataFrame:
+        return constant_predictions(majority_class(self.ready.train, "label"), self.ready.test)
+
+    def tfidf_naive_bayes(self) -> DataFrame:
+        model = naive_bayes.fit(self.text.train, self.ready.train, self.text.index)
+        rows = naive_bayes.predict(model, self.text.test, self.ready.test.select("review_id", F.col("label").cast("int")))
+        return rows.select("review_id", "label", "pred", F.lit(None).cast("double").alias("score"))
+
+    def tfidf_logistic_regression(self) -> DataFrame:
+        clf = logistic(self.ready.n_train, 1.0, self.max_iter).setFamily("multinomial")
+        return predictions(clf.fit(self.ready.train), self.ready.test)
+
+    def tfidf_linear_svm(self) -> DataFrame:
+        # The tolerance is that of the surveyed solver; the classes are fitted side by side.
+        svm = LinearSVC(maxIter=self.max_iter, tol=1e-4, regParam=1.0 / max(self.ready.n_train, 1), standardization=False)
+        return predictions(OneVsRest(classifier=svm, parallelism=3).fit(self.ready.train), self.ready.test)
+
+
+class FraudBaselines:
+    """The fraud baselines, likewise."""
+
+    def __init__(self, train: DataFrame, test: DataFrame, settings: TextSettings = BASELINE_FRAUD_TEXT, max_iter: int = 400, n_trees: int = 120):
+        self.rows, self.max_iter, self.n_trees = (train, test), max_iter, n_trees
+        self.text = text_tables(train, test, settings)
+        self.ready = prepare_tables(self.text, train, test, FRAUD_TARGET, MODEL_NUMERIC_FEATURES)
+
+    def majority_baseline(self) -> DataFrame:
+        return constant_predictions(majority_class(self.ready.train, "label"), self.ready.test)
+
+    def numeric_logistic_regression(self) -> DataFrame:
+        numbers = prepare([*numeric_stages(MODEL_NUMERIC_FEATURES, out="features")], *self.rows, FRAUD_TARGET)
+        return predictions(logistic(numbers.n_train, 1.0, self.max_iter).fit(numbers.train), numbers.test)
+
+    def hybrid_logistic_regression(self) -> DataFrame:
+        return predictions(logistic(self.ready.n_train, 1.0, self.max_iter).fit(self.ready.train), self.ready.test)
+
+    def hybrid_random_forest(self) -> DataFrame:
+        coded = coded_parts(*self.rows, self.text, MODEL_NUMERIC_FEATURES)
+        forest = trees.fit_forest(coded.blocks, self.text.n_grams + len(MODEL_NUMERIC_FEATURES), coded.zero_bins, self.n_trees, seed=SEED)
+        shared = trees.forest_scores(forest, coded.zero_bins)
+        scored = trees.scored_rows(coded.test, coded.test_codes, shared, ["score"])
+        return scored.select("review_id", "label", (F.col("score") >= 0.5).cast("int").alias("pred"), "score")
+
+
+SENTIMENT_BASELINES = ("majority_baseline", "tfidf_naive_bayes", "tfidf_logistic_regression", "tfidf_linear_svm")
+FRAUD_BASELINES = ("majority_baseline", "numeric_logistic_regression", "hybrid_logistic_regression", "hybrid_random_forest")
+
+
+def sentiment_baselines(models: SentimentBaselines, names: Sequence[str] = SENTIMENT_BASELINES) -> DataFrame:
+    """(task, model_name, f1_macro, f1_weighted) of the named models."""
+    outcomes = {name: getattr(models, name)() for name in names}
     report = metrics.multiclass_summary(tag_and_union(outcomes, "model_name"), ["model_name"])
     return report.select(F.lit("sentiment").alias("task"), "model_name", "f1_macro", "f1_weighted")
 
 
-def fraud_baselines(
-    train: DataFrame,
-    test: DataFrame,
-    settings: TextSettings = BASELINE_FRAUD_TEXT,
-    max_iter: int = 400,
-    trees: int = 120,
-    max_depth: int = 30,
-) -> DataFrame:
-    """(task, model_name, precision, recall, f1, roc_auc) for majority, numeric-only, hybrid and forest."""
-    numeric = [*numeric_stages(MODEL_NUMERIC_FEATURES, out="features")]
-    numbers = prepare(numeric, train, test, FRAUD_TARGET)
-    hybrid = prepare(hybrid_stages(settings, MODEL_NUMERIC_FEATURES), train, test, FRAUD_TARGET)
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=max_depth, seed=SEED)
-    outcomes = {
-        "majority_baseline": _constant(majority_class(numbers.train, "label"), numbers.test),
-        "numeric_logistic_regression": predictions(
-            logistic(numbers.n_train, 1.0, max_iter).fit(numbers.train), numbers.test
-        ),
-        "hybrid_logistic_regression": predictions(
-            logistic(hybrid.n_train, 1.0, max_iter).fit(hybrid.train), hybrid.test
-        ),
-        "hybrid_random_forest": predictions(forest.fit(hybrid.train), hybrid.test),
-    }
+def fraud_baselines(models: FraudBaselines, names: Sequence[str] = FRAUD_BASELINES) -> DataFrame:
+    """(task, model_name, precision, recall, f1, roc_auc) of the named models."""
+    outcomes = {name: stage(getattr(models, name)(), "baseline") for name in names}
     report = metrics.fraud_evaluation(tag_and_union(outcomes, "model_name"), ["model_name"])
     return report.select(F.lit("fraud").alias("task"), "model_name", "precision", "recall", "f1", "roc_auc")
 
 
 def baseline_report(train: DataFrame, test: DataFrame) -> DataFrame:
     """Both tasks' baselines in one table."""
-    return sentiment_baselines(train, test).unionByName(fraud_baselines(train, test), allowMissingColumns=True)
+    first, second = sentiment_baselines(SentimentBaselines(train, test)), fraud_baselines(FraudBaselines(train, test))
+    return first.unionByName(second, allowMissingColumns=True)
+
 
+@dataclass
+class Coded:
+    """Binned training rows as blocks, and the test rows with their codes."""
 
-def boosted_trees(rounds: int = 120, depth: int = 3, step: float = 0.1) -> GBTClassifier:
-    return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=SEED)
+    blocks: DataFrame
+    test: DataFrame
+    test_codes: DataFrame
+    zero_bins: dict[int, int]
 
 
-def ablation(
-    train: DataFrame,
-    test: DataFrame,
-    settings: TextSettings = ABLATION_TEXT,
-    grid: Sequence[float] = tuple(thresholds.ABLATION_GRID),
-    make: Callable[[], GBTClassifier] = boosted_trees,
-) -> tuple[DataFrame, DataFrame]:
-    """(row per setting, sweep per setting) for all numeric features against the reduced set."""
-    outcomes = {}
-    for setting, columns in SETTING_FEATURES.items():
-        ready = prepare(hybrid_stages(settings, columns), train, test, FRAUD_TARGET)
-        outcomes[setting] = predictions(make().fit(ready.train), ready.test)
-    scores = stage(tag_and_union(outcomes, "setting"), "ablation-scores")
+def coded_parts(train: DataFrame, test: DataFrame, text: TextTables, numbers: Sequence[str]) -> Coded:
+    """Both parts as trees read them; numbers need no scaling, as their order is all that counts."""
+    own, held = (entries_of(part, w, text.n_grams, numbers) for part, w in ((train, text.train), (test, text.test)))
+    edges = stage(trees.bin_edges(own), "bin-edges")
+    label = F.col(FRAUD_TARGET).cast("int").alias("label")
+    blocks = trees.blocks_of(train.select("review_id", label), trees.coded(own, edges))
+    return Coded(blocks, test.select("review_id", label), trees.coded(held, edges), trees.zero_bins_of(edges))
+
+
+def ablation_scores(train: DataFrame, test: DataFrame, settings: TextSettings = ABLATION_TEXT, rounds: int = 120, depth: int = 3) -> DataFrame:
+    """(setting, review_id, label, pred, score) of boosted trees with all numeric features and with the reduced set.
+
+    One text table, one set of bins and one set of blocks serve both; a setting is a
+    list of features its trees leave out, and both grow in the same jobs.
+    """
+    text = text_tables(train, test, settings)
+    coded = coded_parts(train, test, text, NUMERIC_FEATURES)
+    left_out = [[text.n_grams + i for i, c in enumerate(NUMERIC_FEATURES) if c not in columns] for columns in SETTING_FEATURES.values()]
+    models = trees.fit_boosted(coded.blocks, text.n_grams + len(NUMERIC_FEATURES), left_out, coded.zero_bins, rounds, depth)
+    names = list(SETTING_FEATURES)
+    scored = trees.scored_rows(coded.test, coded.test_codes, trees.boosted_scores(models, coded.zero_bins), names)
+    each = F.array(*[F.struct(F.lit(n).alias("setting"), F.col(n).alias("score")) for n in names])
+    flat = scored.select("review_id", "label", F.inline(each))
+    return flat.select("setting", "review_id", "label", (F.col("score") >= 0.5).cast("int").alias("pred"), "score")
+
+
+def ablation(scores: DataFrame, grid: Sequence[float] = tuple(thresholds.ABLATION_GRID)) -> tuple[DataFrame, DataFrame]:
+    """(row per setting, sweep per setting) of the scores of all numeric features and of the reduced set."""
     by = ["setting"]
     sweep = stage(thresholds.threshold_sweep(scores, grid, by), "ablation-sweep")
     # The earliest grid row wins ties: smaller positions compare larger when negated.
     best = sweep.groupBy(*by).agg(
         F.max_by(F.struct("threshold", "precision", "recall", "f1", "errors", "n"), F.struct("f1", -F.col("grid_pos"))).alias("b")
     )
-    sizes = F.lit(None).cast("int")
-    for setting, columns in SETTING_FEATURES.items():
-        sizes = F.when(F.col("setting") == setting, len(columns)).otherwise(sizes)
+    sizes = reduce(lambda other, s: F.when(F.col("setting") == s, len(SETTING_FEATURES[s])).otherwise(other), SETTING_FEATURES, F.lit(None).cast("int"))
     rows = metrics.fraud_evaluation(scores, by).join(best, by).select(
         "setting",
         sizes.alias("n_numeric_features"),

@@ -147,7 +147,7 @@ def ngram_vocab(spark, sf):
 def tfidf(spark, sf):
     docs = clean_documents(spark, sf)
     vocab = text_features.vocabulary(docs, 10, 0.9, 15_000, "t")
-    weights = text_features.tfidf(docs, vocab, 15_000, key="doc_id", text="t")
+    weights = text_features.tfidf(docs, vocab, key="doc_id", text="t")
     per_doc = weights.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_grams"),
         F.sum("tf").alias("tf"),
@@ -170,7 +170,7 @@ def tfidf(spark, sf):
 def tfidf_by_gram(spark, sf):
     docs = clean_documents(spark, sf)
     vocab = text_features.vocabulary(docs, 10, 0.9, 15_000, "t")
-    weights = text_features.tfidf(docs, vocab, 15_000, key="doc_id", text="t")
+    weights = text_features.tfidf(docs, vocab, key="doc_id", text="t")
     per_gram = weights.groupBy("gram").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("weight").alias("weight_sum"), F.max("weight").alias("weight_max")
     )

@@ -186,7 +186,7 @@ def test_tfidf_by_hand(spark):
     vocab = text_features.vocabulary(docs, 1, 0.9, None)
     assert {r["gram"]: r["df"] for r in vocab.collect()} == {"aa": 1, "aa bb": 1, "bb aa": 1, "bb cc": 1, "cc": 1}
     idf = math.log(4 / 2) + 1
-    got = {r["gram"]: r["weight"] for r in text_features.tfidf(docs, vocab, None).where("review_id = '1'").collect()}
+    got = {r["gram"]: r["weight"] for r in text_features.tfidf(docs, vocab).where("review_id = '1'").collect()}
     raw = {"aa": (1 + math.log(2)) * idf, "aa bb": idf, "bb aa": idf}
     norm = math.sqrt(sum(w * w for w in raw.values()))
     assert got == pytest.approx({g: w / norm for g, w in raw.items()})
