@@ -10,7 +10,7 @@ from __future__ import annotations
 from starsift.llm.quality_ledger import POLICIES
 from starsift.llm.quality_ledger import RULES as RULES_OF_QUALITY
 from starsift.llm.secret_scan import BASE_RULES, RULES
-from starsift.llm.url_filter import BLOCK_FROM, DAMPING, ITERATIONS
+from starsift.llm.url_filter import BLOCK_FROM, DAMPING
 
 CONTAMINATION = r"""
 WITH w AS (
@@ -46,21 +46,21 @@ FROM w LEFT JOIN hits USING (rn) LEFT JOIN own USING (rn)
 """
 
 
-def urls() -> str:
-    """Rules, seeds, and the steps of the propagation one after the other."""
-    steps = [
-        f"""m{i + 1} AS (SELECT kind, host, sum(mass) AS mass FROM (
-  SELECT m.kind, e.b AS host, m.mass * e.w * {DAMPING} AS mass FROM m{i} m JOIN edges e ON e.kind = m.kind AND e.a = m.host
-  UNION ALL SELECT m.kind, m.host, m.mass * {DAMPING} FROM m{i} m ANTI JOIN edges e ON e.kind = m.kind AND e.a = m.host
-  UNION ALL SELECT kind, host, mass * {1 - DAMPING} FROM m0) GROUP BY kind, host)"""
-        for i in range(ITERATIONS)
-    ]
+def urls(pages: str = "SELECT page_id, url, html FROM pages", steps: int = 100) -> str:
+    """Rules, seeds, and the steps of both PageRanks one after the other; what is on its way after them is below 1e-7."""
+    walk = ",\n".join(
+        f"""m{i + 1} AS MATERIALIZED (SELECT m.kind, e.b AS host, sum(m.mass * e.w) * {DAMPING} AS mass, sum(m.plain * e.w) * {DAMPING} AS plain
+  FROM m{i} m JOIN edges e ON e.kind = m.kind AND e.a = m.host GROUP BY m.kind, e.b)"""
+        for i in range(steps)
+    )
+    every = " UNION ALL ".join(f"SELECT * FROM m{i + 1}" for i in range(steps))
     return rf"""
 WITH rules(rule, verdict) AS (VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'),
   ('net/es/', 'block'), ('net/fr/', 'block')),
+given AS ({pages}),
 p AS (SELECT row_number() OVER () AS rn, page_id, html,
   translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM given),
 hit AS (SELECT rn, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
   FROM p JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
     AND starts_with(path, substr(rule, length(split_part(rule, '/', 1)) + 1)) GROUP BY rn),
@@ -68,20 +68,30 @@ judged AS (SELECT p.*, rule, verdict FROM p LEFT JOIN hit USING (rn)),
 links AS (SELECT a, b, count(*) AS n FROM (SELECT host AS a, translate(unnest(regexp_extract_all(html,
     '(?i)(?:href|src)\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)', 1)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS b FROM p)
   WHERE a <> '' AND b <> '' AND a <> b GROUP BY a, b),
-edges AS (SELECT 'trust' AS kind, a, b, n / sum(n) OVER (PARTITION BY a) AS w FROM links
+edges AS MATERIALIZED (SELECT 'trust' AS kind, a, b, n / sum(n) OVER (PARTITION BY a) AS w FROM links
   UNION ALL SELECT 'distrust', b, a, n / sum(n) OVER (PARTITION BY b) FROM links),
-m0 AS (SELECT * FROM (
-  SELECT 'trust' AS kind, host, avg(CASE WHEN verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS mass FROM judged WHERE host <> '' GROUP BY host
-  UNION ALL SELECT 'distrust', host, avg(CASE WHEN verdict = 'block' THEN 1.0 ELSE 0.0 END) FROM judged WHERE host <> '' GROUP BY host) WHERE mass > 0),
-{",".join(steps)},
-t AS (SELECT host, coalesce(sum(mass) FILTER (kind = 'trust'), 0.0) AS trust, coalesce(sum(mass) FILTER (kind = 'distrust'), 0.0) AS distrust
-  FROM m{ITERATIONS} GROUP BY host)
+seeds AS (SELECT * FROM (
+  SELECT 'trust' AS kind, host, avg(CASE WHEN verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS seed FROM judged WHERE host <> '' GROUP BY host
+  UNION ALL SELECT 'distrust', host, avg(CASE WHEN verdict = 'block' THEN 1.0 ELSE 0.0 END) FROM judged WHERE host <> '' GROUP BY host) WHERE seed > 0),
+ends AS (SELECT DISTINCT kind, host FROM (SELECT kind, a AS host FROM edges UNION ALL SELECT kind, b FROM edges)),
+m0 AS MATERIALIZED (SELECT ends.kind, ends.host, {1 - DAMPING} * coalesce(seed, 0) AS mass, {1 - DAMPING} AS plain FROM ends LEFT JOIN seeds USING (kind, host)),
+{walk},
+got AS (SELECT kind, host, sum(mass) / sum(plain) AS share FROM ({every}) GROUP BY kind, host),
+shares AS (SELECT kind, host, greatest(coalesce(seed, 0), coalesce(share, 0)) AS share FROM seeds FULL JOIN got USING (kind, host)),
+t AS (SELECT host, coalesce(max(share) FILTER (kind = 'trust'), 0.0) AS trust, coalesce(max(share) FILTER (kind = 'distrust'), 0.0) AS distrust
+  FROM shares GROUP BY host)
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN distrust >= {BLOCK_FROM} AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict,
-  round(coalesce(trust, 0.0), 6) AS trust, round(coalesce(distrust, 0.0), 6) AS distrust
+  round(coalesce(trust, 0.0), 4) AS trust, round(coalesce(distrust, 0.0), 4) AS distrust
 FROM judged LEFT JOIN t USING (host)
 """
 
 
+#: The pages with links added: every third one to the host of another page. The host comes from the url as in the rules.
+LINKED_PAGES = r"""SELECT a.page_id, a.url, concat(a.html, CASE WHEN a.page_id % 3 = 0 AND b.url LIKE '%://%'
+    THEN concat('<a href="//', regexp_extract(b.url, '://([^/?#]*)', 1), '/x">') ELSE '' END) AS html
+  FROM pages a LEFT JOIN pages b ON b.page_id = (a.page_id * 7 + 3) % (SELECT count(*) FROM pages)"""
+
+
 def quality() -> str:
     """Measurements by lists, rules as written in the ledger."""
     bits = {r.name: r.bit for r in RULES_OF_QUALITY}
@@ -164,7 +174,9 @@ FROM whole w JOIN sums USING (node) LEFT JOIN whole u ON u.node = w.above
 
 LINES = r"""
 WITH d AS (SELECT row_number() OVER () AS rn, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-l AS (SELECT rn, i, lines[i] AS line, translate(regexp_replace(lines[i], '^[ 	-]+|[ 	-]+$', '', 'g'),
+l AS (SELECT rn, i, lines[i] AS line, translate(regexp_replace(lines[i], '^[ 	-
+]+|[ 	-
+]+$', '', 'g'),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM (SELECT rn, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
 often AS (SELECT key FROM (SELECT DISTINCT rn, key FROM l WHERE length(key) >= 1) GROUP BY key HAVING count(*) >= 10),
 kept AS (SELECT rn, string_agg(line, chr(10) ORDER BY i) AS kept, count(*) AS n FROM l ANTI JOIN often USING (key) GROUP BY rn)
@@ -229,6 +241,7 @@ FROM folded
 SQL: dict[str, str] = {
     "op1_decontaminate": CONTAMINATION,
     "op4_url_filter": urls(),
+    "linked_url_filter": urls(LINKED_PAGES),
     "op9_quality_ledger": quality(),
     "op10_secret_scan": secrets(),
     "op11_prefix_trie": TRIE,

@@ -54,7 +54,19 @@ def op3_bpe_codec(spark, sf):
 def op4_url_filter(spark, sf):
     """Verdict on every page."""
     judged = url_filter.filter_urls(table(spark, sf, "pages"), URL_RULES)
-    return judged.withColumns({"trust": F.round("trust", 6), "distrust": F.round("distrust", 6)})
+    return judged.withColumns({"trust": F.round("trust", 4), "distrust": F.round("distrust", 4)})
+
+
+def linked_url_filter(spark, sf):
+    """The same with a link to another page's host in every third page, as the given pages link to no other host."""
+    pages = table(spark, sf, "pages")
+    n = pages.count()
+    other = pages.select(F.col("page_id").alias("other"), url_filter.host_of(F.col("url")).alias("other_host"), F.col("url").contains("://").alias("has_host"))
+    joined = pages.join(other, (F.col("page_id") * 7 + 3) % n == F.col("other"), "left")
+    link = F.when((F.col("page_id") % 3 == 0) & F.col("has_host"), F.concat(F.lit('<a href="//'), "other_host", F.lit('/x">'))).otherwise("")
+    linked = joined.select("page_id", "url", F.concat("html", link).alias("html"))
+    judged = url_filter.filter_urls(linked, URL_RULES)
+    return judged.withColumns({"trust": F.round("trust", 4), "distrust": F.round("distrust", 4)})
 
 
 def op5_language_id(spark, sf):
@@ -133,7 +145,7 @@ def pipeline(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_decontaminate, op2_packing, op3_bpe_codec, op4_url_filter, op5_language_id, op6_simhash_dedup,
+        op1_decontaminate, op2_packing, op3_bpe_codec, op4_url_filter, linked_url_filter, op5_language_id, op6_simhash_dedup,
         op7_token_counts, op8_toxicity, op9_quality_ledger, op10_secret_scan, op11_prefix_trie, op12_line_dedup,
         op13_merkle_manifest, pipeline,
     )

@@ -1,14 +1,14 @@
 """URL filter: host and path rules, and trust propagated over the link graph of hosts.
 
-A page that a rule fits takes the verdict of the longest one. For the others, trust
-starts at hosts in the share of their pages that rules allow and follows links
-forward; distrust starts in the share that rules block and follows links backward
-(who links to blocked hosts is suspect). A host's distrust is the share of its own
-personalised PageRank along its links that lies on blocked pages, its trust the
-share of that against its links that lies on allowed ones; neither depends on how
-many other hosts link to the same place. The share of its own pages is the least a
-host has. Both are one table, iterated with joins and sums until nothing moves; a
-host is blocked from a threshold on.
+A page that a rule fits takes the verdict of the longest one. For the others, two
+personalised PageRanks run over the links between hosts: trust starts at hosts in the
+share of their pages that rules allow and follows links forward; distrust starts in the
+share that rules block and follows links backward (who links to blocked hosts is
+suspect). Beside each runs the plain PageRank of the same direction, which starts at
+every host alike. A host's trust is the share of what reached it along links that came
+from allowed pages, its distrust likewise; neither depends on how many hosts share a
+neighbour. The share of its own pages is the least a host has. A host is blocked from a
+threshold on.
 """
 
 from __future__ import annotations
@@ -23,8 +23,7 @@ from starsift.staging import stage
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Share of the mass that follows links; the rest returns to the seeds.
 DAMPING = 0.85
-ITERATIONS = 8
-#: Shares are iterated until none changes by more than this.
+#: A host passes on what reached it last while that is more than this part of all it has.
 TOLERANCE = 1e-7
 #: A host is blocked if its distrust reaches this and exceeds its trust.
 BLOCK_FROM = 0.5
@@ -114,64 +113,42 @@ def seed_mass(judged: DataFrame) -> DataFrame:
     return by_host.select("host", F.inline(pair)).where("seed > 0").select("kind", "host", "seed")
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
-    """(kind, host, mass) after ``iterations`` steps; mass of a host without onward links stays there.
+def host_ranks(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(kind, host, seed, got, got_plain): what reaches a host along links in its personalised PageRank, and in the plain one.
 
-    It shrinks with the number of hosts that share it; verdicts rest on ``host_shares``. Every step is written to the shared folder, so a lost executor costs one step.
+    A step sends only what reached a host in the step before, and only from hosts where
+    that still matters; every round trip loses 1 - ``damping``, so the steps end by
+    themselves. Mass of a host without onward links goes nowhere. Hosts without any link
+    take no part. Every step is written to the shared folder, so a lost executor costs
+    one step.
     """
-    seeds = stage(seeds, "seeds")
     edges = stage(transitions(links), "edges")
-    sources = edges.select("kind", F.col("src").alias("host")).distinct().withColumn("onward", F.lit(True))
-    back = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("mass"))
-    mass = seeds.select("kind", "host", F.col("seed").alias("mass"))
-    moves = edges.withColumnsRenamed({"src": "host"})
-    for _ in range(iterations):
-        sent = mass.join(moves, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("w") * damping).alias("mass"))
-        stays = mass.join(sources, ["kind", "host"], "left_anti").select("kind", "host", (F.col("mass") * damping).alias("mass"))
-        step = sent.unionByName(stays).unionByName(back).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        mass = stage(step, "mass")
-    return mass
-
-
-def neighbour_shares(links: DataFrame) -> DataFrame:
-    """(kind, host, of, w): whose share ``host`` takes up; distrust of whom it links to, trust of who links to it.
-
-    The weights of one host sum to 1.
-    """
-    both = links.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("trust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("of"), "n"),
-                F.struct(F.lit("distrust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("of"), "n"),
-            )
-        )
-    )
-    totals = both.groupBy("kind", "host").agg(F.sum("n").alias("total"))
-    return both.join(totals, ["kind", "host"]).select("kind", "host", "of", (F.col("n") / F.col("total")).alias("w"))
+    ends = edges.select("kind", F.explode(F.array("src", "dst")).alias("host")).distinct()
+    back = 1 - damping
+    start = ends.join(seeds, ["kind", "host"], "left").select("kind", "host", F.coalesce("seed", F.lit(0.0)).alias("seed"))
+    zero = F.lit(0.0)
+    state = stage(start.select("kind", "host", "seed", zero.alias("got"), zero.alias("got_plain"), (F.col("seed") * back).alias("new"), F.lit(back).alias("new_plain")), "ranks")
+    amounts = ["seed", "got", "got_plain", "new", "new_plain"]
+    onward = edges.withColumnRenamed("src", "host")
+    matters = (F.col("new") > tolerance * (F.col("seed") * back + F.col("got"))) | (F.col("new_plain") > tolerance * (back + F.col("got_plain")))
+    while not state.where(matters).isEmpty():
+        sent = state.where(matters).join(onward, ["kind", "host"]).select(
+            "kind", F.col("dst").alias("host"), zero.alias("seed"),
+            *[(F.col(c) * F.col("w") * damping).alias(name) for c, name in (("new", "got"), ("new_plain", "got_plain"), ("new", "new"), ("new_plain", "new_plain"))],
+        )
+        held = state.select("kind", "host", "seed", "got", "got_plain", zero.alias("new"), zero.alias("new_plain"))
+        state = stage(held.unionByName(sent).groupBy("kind", "host").agg(*[F.sum(c).alias(c) for c in amounts]), "ranks")
+    return state.select("kind", "host", "seed", "got", "got_plain")
 
 
 def host_shares(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
-    """(kind, host, mass) between 0 and 1: the seed, or if more, what the host's neighbours hand on.
-
-    They hand on ``damping`` of the mean of their masses, besides 1 - ``damping`` of
-    the host's seed. Masses only rise from the seeds and every step shrinks the largest
-    rise by ``damping``, so the steps end by themselves, at any depth of the graph.
-    Every step is written to the shared folder, so a lost executor costs one step.
-    """
+    """(kind, host, share) between 0 and 1: the seed, or if more, the seeded part of what reached the host."""
     seeds = stage(seeds, "seeds")
-    edges = stage(neighbour_shares(links), "edges")
-    own = seeds.select("kind", "host", "seed", F.lit(0.0).alias("sent"), F.lit(0.0).alias("was"))
-    mass = seeds.select("kind", "host", F.col("seed").alias("mass"))
-    while True:
-        taken = mass.withColumnRenamed("host", "of").join(edges, ["kind", "of"])
-        sent = taken.select("kind", "host", F.lit(0.0).alias("seed"), (F.col("mass") * F.col("w") * damping).alias("sent"), F.lit(0.0).alias("was"))
-        last = mass.select("kind", "host", F.lit(0.0).alias("seed"), F.lit(0.0).alias("sent"), F.col("mass").alias("was"))
-        sums = own.unionByName(sent).unionByName(last).groupBy("kind", "host").agg(*[F.sum(c).alias(c) for c in ("seed", "sent", "was")])
-        now = F.greatest("seed", F.col("seed") * (1 - damping) + F.col("sent"))
-        step = stage(sums.select("kind", "host", now.alias("mass"), (now - F.col("was") > tolerance).alias("moved")), "mass")
-        mass = step.select("kind", "host", "mass")
-        if step.where("moved").isEmpty():
-            return mass
+    ranks = host_ranks(seeds, links, damping, tolerance)
+    share = F.greatest("seed", F.coalesce(F.col("got") / F.nullif("got_plain", F.lit(0.0)), F.lit(0.0)))
+    return ranks.select("kind", "host", share.alias("share")).unionByName(
+        seeds.join(ranks, ["kind", "host"], "left_anti").select("kind", "host", F.col("seed").alias("share"))
+    )
 
 
 def filter_urls(
@@ -187,9 +164,9 @@ def filter_urls(
     each as a page of their host. No rules, or no pages: no seeds, all allowed.
     """
     judged = judged_by_rules(pages, rules, page_id, url)
-    mass = host_shares(seed_mass(judged), host_links(pages, url, html), tolerance=tolerance)
-    by_kind = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("mass"))), F.lit(0.0)).alias(k)
-    hosts = stage(mass.groupBy("host").agg(by_kind("trust"), by_kind("distrust")), "host-trust")
+    shares = host_shares(seed_mass(judged), host_links(pages, url, html), tolerance=tolerance)
+    by_kind = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("share"))), F.lit(0.0)).alias(k)
+    hosts = stage(shares.groupBy("host").agg(by_kind("trust"), by_kind("distrust")), "host-trust")
     scored = judged.join(hosts, "host", "left").fillna(0.0, ["trust", "distrust"])
     blocked = (F.col("distrust") >= block_from) & (F.col("distrust") > F.col("trust"))
     verdict = F.coalesce("verdict", F.when(blocked, "block").otherwise("allow"))
