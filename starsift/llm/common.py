@@ -71,24 +71,28 @@ def map_texts(df: DataFrame, text: str, keep: list[str], added: str, make: Calla
     body = "__text"
     while body in keep:
         body += "_"
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("binary").alias(body))
-    out = StructType([source.schema[c] for c in keep] + StructType.fromDDL(added).fields)
+    # Columns travel under plain names: Spark's map resolves dots in names.
+    plain = {c: f"__kept_{i}" for i, c in enumerate(keep)}
+    source = df.select(*[F.col(f"`{c}`").alias(n) for c, n in plain.items()], F.col(f"`{text}`").cast("binary").alias(body))
+    new = StructType.fromDDL(added)
+    out = StructType([source.schema[n] for n in plain.values()] + new.fields)
+    held = set(plain.values())
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = make()
         for batch in batches:
             for part in slices(batch, body):
-                new = rows([t or b"" for t in part.column(body).to_pylist()])
+                made = rows([t or b"" for t in part.column(body).to_pylist()])
                 columns = [
-                    part.column(f.name) if f.name in keep else pa.array(new[f.name], type=f.type) for f in arrow
+                    part.column(f.name) if f.name in held else pa.array(made[f.name], type=f.type) for f in arrow
                 ]
                 fields = [
                     pa.field(f.name, c.type, True) for f, c in zip(arrow, columns, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
 
-    return source.mapInArrow(run, out)
+    return source.mapInArrow(run, out).toDF(*keep, *new.names)
 
 
 def fresh_name(df: DataFrame, stem: str) -> str:

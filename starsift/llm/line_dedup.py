@@ -399,7 +399,10 @@ def dropped_by_join(docs: DataFrame, index: LineIndex, keep: list[str], text: st
 
     marked = map_texts(docs, text, keep, f"`{mark}` binary, `{body}` string", marks)
     joined = marked.join(by_text.withColumnsRenamed({"mark": mark, "drop": drop}), mark, "left")
-    schema = StructType([*(marked.schema[c] for c in keep), *StructType.fromDDL(DROPPED).fields])
+    plain = [f"kept_{i}" for i in range(len(keep))]
+    joined = joined.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, plain, strict=True)], body, drop)
+    held = set(plain)
+    schema = StructType([*(joined.schema[n] for n in plain), *StructType.fromDDL(DROPPED).fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,10 +411,10 @@ def dropped_by_join(docs: DataFrame, index: LineIndex, keep: list[str], text: st
                 sets = [set(d or ()) for d in part.column(drop).to_pylist()]
                 texts = [t.encode() for t in part.column(body).to_pylist()]
                 new = without(texts, lambda keys, owner, sets=sets: np.array([k in sets[i] for k, i in zip(keys, owner, strict=True)], bool), min_chars)
-                columns = [part.column(f.name) if f.name in keep else pa.array(new[f.name], type=f.type) for f in arrow]
+                columns = [part.column(f.name) if f.name in held else pa.array(new[f.name], type=f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([pa.field(f.name, c.type) for f, c in zip(arrow, columns, strict=True)]))
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).toDF(*keep, *StructType.fromDDL(DROPPED).names)
 
 
 def dedup_lines(docs: DataFrame, keep: list[str], text: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -18,6 +18,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starsift.llm.common import fresh_name
+
 #: Literal variants followed through one pattern; beyond, the literal is cut there.
 MAX_VARIANTS = 64
 MAX_CLASS = 4
@@ -155,7 +157,7 @@ def holds(query: object, grams: Column) -> Column:
 def postings(docs: DataFrame, rules: tuple[SecretRule, ...], doc_id: str, text: str) -> DataFrame:
     """The inverted index as (trigram, doc_id) rows, for the trigrams the rules ask for."""
     wanted = sorted(set().union(*(trigrams_of(trigram_query(r.pattern)) for r in rules)))
-    folded = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("folded"))
+    folded = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.lower(F.col(f"`{text}`")).alias("folded"))
     held = F.array_compact(F.array(*[F.when(F.col("folded").contains(g), F.lit(g)) for g in wanted]))
     return folded.select("doc_id", F.explode(held).alias("trigram"))
 
@@ -216,23 +218,23 @@ def searched(rule: SecretRule) -> str:
     return rule.pattern
 
 
-def scan(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text", rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
-    """Columns ``keep`` with ``spans``: array of (start, rank, end, kind) by start, then in the order of the rules.
+def scan(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text", rules: tuple[SecretRule, ...] = RULES, out: str = "spans") -> DataFrame:
+    """Columns ``keep`` with ``spans`` (or another name, ``out``): array of (start, rank, end, kind) by start, then in the order of the rules.
 
     Positions are code points, the end exclusive. Null and empty texts have no
     spans. Rows with a null or repeated id are judged by their own text: an id's
     candidates are those of all its rows, and the pattern decides. Only built-in
     functions run here.
     """
-    found = candidates(postings(docs.where(F.col(doc_id).isNotNull()), rules, doc_id, text), rules)
+    found = candidates(postings(docs.where(F.col(f"`{doc_id}`").isNotNull()), rules, doc_id, text), rules)
     own = {c: f"d_{c}" for c in docs.columns}
     renamed = docs.withColumnsRenamed(own)
-    key = F.col(f"d_{doc_id}")
+    key = F.col(f"`d_{doc_id}`")
     known = renamed.where(key.isNotNull()).join(found, key == found["doc_id"], "left").drop("doc_id")
     every = F.array(*[F.lit(r.kind) for r in rules])
     unknown = renamed.where(key.isNull()).withColumn("kinds", every)
     rows = known.unionByName(unknown)
-    body = F.coalesce(F.col(f"d_{text}"), F.lit(""))
+    body = F.coalesce(F.col(f"`d_{text}`"), F.lit(""))
     lists = []
     for order, rule in enumerate(rules):
         spans = found_spans(rule, order, body)
@@ -240,7 +242,7 @@ def scan(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "
             none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
             spans = F.when(F.array_contains("kinds", rule.kind), spans).otherwise(none)
         lists.append(spans)
-    return rows.select(*[F.col(f"d_{c}").alias(c) for c in keep], F.array_sort(F.concat(*lists)).alias("spans"))
+    return rows.select(*[F.col(f"`d_{c}`").alias(c) for c in keep], F.array_sort(F.concat(*lists)).alias(out))
 
 
 def span_text(spans: Column) -> Column:
@@ -250,11 +252,9 @@ def span_text(spans: Column) -> Column:
 
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mark: str = "[redacted]", rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
     """Documents with every found span replaced by ``mark``; overlapping spans become one. All rows and columns stay."""
-    name = "found_spans"
-    while name in docs.columns:
-        name += "_"
-    rows = scan(docs, docs.columns, doc_id, text, rules).withColumnRenamed("spans", name)
-    body = F.col(text)
+    name = fresh_name(docs, "found_spans")
+    rows = scan(docs, docs.columns, doc_id, text, rules, name)
+    body = F.col(f"`{text}`")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     walked = F.aggregate(
         name,
@@ -267,4 +267,4 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mark: st
         ),
     )
     clean = F.concat(walked["out"], body.substr(walked["at"] + 1, F.length(body)))
-    return rows.withColumn(text, F.when(F.size(name) > 0, clean).otherwise(body)).select(*docs.columns)
+    return rows.withColumn(text, F.when(F.size(name) > 0, clean).otherwise(body)).select(*[F.col(f"`{c}`") for c in docs.columns])

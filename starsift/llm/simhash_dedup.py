@@ -291,13 +291,14 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     own = {c: f"d_{c}" for c in docs.columns}
     key = f"d_{doc_id}"
     renamed = docs.withColumnsRenamed(own)
-    hashed = renamed.withColumn("row_hash", F.xxhash64(*[F.col(c).cast("string") for c in own.values()]))
+    hashed = renamed.withColumn("row_hash", F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in own.values()]))
     rows = fingerprints(hashed, [*own.values(), "row_hash"], f"d_{text}", "fp", words)
-    light = stage(rows.select("fp", F.col(key).alias("doc_id"), "row_hash"), "fingerprints")
+    light = stage(rows.select("fp", F.col(f"`{key}`").alias("doc_id"), "row_hash"), "fingerprints")
     groups = stage(component_ids(light), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash")
     winners = light.join(groups, "fp").groupBy("label").agg(F.min(order).alias("best"))
     winners = winners.select("best.doc_id", "best.row_hash").distinct()
-    kept = rows.join(winners, (rows[key].eqNullSafe(winners["doc_id"])) & (rows["row_hash"] == winners["row_hash"]), "left_semi")
+    same = hashed[f"`{key}`"].eqNullSafe(winners["doc_id"]) & (hashed["row_hash"] == winners["row_hash"])
+    kept = hashed.join(winners, same, "left_semi")
     return kept.dropDuplicates([key, "row_hash"]).select(*[F.col(f"`{new}`").alias(c) for c, new in own.items()])
 
