@@ -1,20 +1,22 @@
 """Toxicity by a support vector machine over a string-subsequence kernel.
 
-Two words are alike by the three-character subsequences they share; a subsequence
-may skip characters, each skipped one weighing ``DECAY``, so an insult with
-inserted or missing characters stays near the plain one. Landmark words span the
+A text is read through windows of its sentences: single words, two short neighbours
+without the blank between them, spelt-out words without their blanks, and stretches of
+long runs. Two windows are alike by the three-character subsequences they share; a
+subsequence may skip up to four characters, each skipped one weighing ``DECAY``, so an
+insult with inserted or missing characters stays near the plain one. Landmarks span the
 kernel space (Nyström); a linear machine with squared hinge loss is trained on the
-words of labelled sentences: all words of the clean documents, each counting as one
-document, as any single one would mark it; a toxic document counts through its most toxic
-word, chosen anew in each round, and through words that are telling on their own. A document's score is that of its most toxic
-word. Words are scored once for each task, however often they occur.
+windows of labelled sentences: every window of the clean ones, each counting as one
+document, as any single one would mark it, against the telling words of the toxic ones
+and, for the most telling, forms of them with inserted, doubled and missing characters.
+A document's score is that of its most toxic window; half is where few clean documents
+of the sample are above. Windows are scored once for each task while they are known.
 """
 
 from __future__ import annotations
 
 import re
-import tempfile
-from collections.abc import Callable, Iterator
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,14 +27,21 @@ from starsift.llm.common import map_texts
 
 #: Labelled documents of each class that are learnt from, about.
 FIT_TOXIC, FIT_CLEAN = 1500, 3000
-TOXIC_LANDMARKS, CLEAN_LANDMARKS = 128, 128
+TELLING_LANDMARKS, FORM_LANDMARKS, CLEAN_LANDMARKS = 128, 160, 96
 #: A telling word of that many toxic documents counts as toxic in each of them.
 SURE_DOCUMENTS = 4
+#: Words that tell that part as much as the most telling one are also learnt in changed forms, and what those weigh together.
+STRONG_SHARE, FORMS_WEIGHT = 0.25, 2.0
+#: Share of the sample's clean documents above one half.
+CLEAN_SHARE = 0.032
 DECAY = 0.5
-#: Offsets of the second and third character of a subsequence.
-GAPS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
-PENALTY = 1e-3
-ROUNDS = 3
+#: Offsets of the second and third character of a subsequence: up to four characters are skipped.
+GAPS = tuple((i, j) for j in range(2, 7) for i in range(1, j))
+PENALTY = 1e-4
+#: Steps of the solver, at most.
+STEPS = 12
+#: Lengths of two neighbouring words that are read as one: of each, and together.
+PART, JOINED = (2, 6), (5, 11)
 #: Longer strings are read in windows of that many characters, half of one apart.
 WORD_CHARS = 32
 MEMO_WORDS = 300_000
@@ -51,11 +60,11 @@ def sentences(text: str) -> list[str]:
 
 
 def candidates(text: str) -> list[str]:
-    """Words of a text in lower case, without marks around them; spelt-out words also joined."""
+    """Windows of a text in lower case: words without marks around them, short neighbours joined, spelt-out words joined."""
     text = text.lower()
     words = [w.strip(EDGES) for w in text.split()]
-    words += [re.sub(r"\s", "", m) for m in SPELT.findall(text)]
-    return words
+    joined = [a + b for a, b in zip(words, words[1:], strict=False) if PART[0] <= len(a) <= PART[1] and PART[0] <= len(b) <= PART[1] and JOINED[0] <= len(a) + len(b) <= JOINED[1]]
+    return words + joined + [re.sub(r"\s", "", m) for m in SPELT.findall(text)]
 
 
 def readings(word: str) -> list[str]:
@@ -81,8 +90,11 @@ def char_class(points: np.ndarray) -> np.ndarray:
     return out
 
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word index, subsequence code below 2^18, weight scaled to length 1), sorted by word and code."""
+def classes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The character classes of all words with their edges, the word of each, and the scale of each word.
+
+    A word is scaled by the length a word of as many characters has that repeats none.
+    """
     text = "".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -94,7 +106,14 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner[starts] = inner[ends - 1] = False
     chars[inner] = char_class(points)
     owner = np.repeat(np.arange(len(words)), lengths + 2)
-    keys, weights = [], []
+    norm = sum(DECAY ** (2 * (j - 2)) * np.maximum(0, lengths + 2 - j) for _, j in GAPS)
+    return chars, owner, 1 / np.sqrt(np.maximum(norm, 1e-9))
+
+
+def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word index, subsequence code below 2^18, scaled weight), sorted by word and code."""
+    chars, owner, scale = classes_of(words)
+    keys, weights = [np.zeros(0, np.int64)], [np.zeros(0)]
     for i, j in GAPS:
         if len(chars) <= j:
             continue
@@ -102,17 +121,13 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         code = chars[: len(chars) - j] << 12 | chars[i : len(chars) - j + i] << 6 | chars[j:]
         keys.append((owner[: len(chars) - j] << 18 | code)[fits])
         weights.append(np.full(len(keys[-1]), DECAY ** (j - 2)))
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    weight = np.bincount(at, np.concatenate(weights))
     word = key >> 18
-    norm = np.sqrt(np.bincount(word, weight**2, len(words)))
-    return word, key & (1 << 18) - 1, weight / norm[word]
+    return word, key & (1 << 18) - 1, np.bincount(at, np.concatenate(weights), len(key)) * scale[word]
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalized subsequence kernel between words and landmarks."""
+    """Scaled subsequence kernel between words and landmarks."""
     row, code, weight = subsequences(words)
     column, other, share = subsequences(landmarks)
     codes, at = np.unique(other, return_inverse=True)
@@ -128,34 +143,6 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
-#: Reads (points, labels, costs) block by block, each time anew.
-Blocks = Callable[[], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
-
-
-def squared_hinge(blocks: Blocks, size: int, penalty: float = PENALTY, rounds: int = 30) -> np.ndarray:
-    """Weights (bias last, unpenalized) of a linear machine with squared hinge loss over ``size`` columns, by Newton steps.
-
-    The normal equations are sums over blocks, so memory is that of a block, however many points there are.
-    """
-    ridge = penalty * np.eye(size + 1)
-    ridge[-1, -1] = 1e-9
-    w, last = np.zeros(size + 1), None
-    for _ in range(rounds):
-        left, right, now = ridge.copy(), np.zeros(size + 1), []
-        for x, y, cost in blocks():
-            active = y * (x @ w[:-1] + w[-1]) < 1
-            now.append(np.packbits(active))
-            xa = np.column_stack([x[active], np.ones(int(active.sum()))]).astype(np.float64)
-            weighed = cost[active, None] * xa
-            left += xa.T @ weighed
-            right += weighed.T @ y[active]
-        if last is not None and all(map(np.array_equal, now, last)):
-            break
-        w = np.linalg.solve(left, right)
-        last = now
-    return w
-
-
 def sigmoid_fit(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Slope and shift of the logistic curve from margins to labels, by damped Newton steps."""
     a, b = 1.0, 0.0
@@ -180,11 +167,19 @@ class ToxicityModel:
     base: float  # score without any word
 
     def margins(self, words: list[str]) -> np.ndarray:
-        out = np.full(len(words), self.bias)
+        out, table = np.full(len(words), self.bias), self.table.astype(np.float32)
         for at in range(0, len(words), BLOCK_WORDS):
             part = words[at : at + BLOCK_WORDS]
-            row, code, weight = subsequences(part)
-            out[at : at + len(part)] += np.bincount(row, weight * self.table[code], len(part))
+            chars, owner, scale = classes_of(part)
+            total, chars, n = np.zeros(len(chars), np.float32), chars.astype(np.int32), len(chars)
+            first, second = chars << 12, chars << 6
+            for j in range(2, min(n, GAPS[-1][1] + 1)):
+                reach = np.zeros(n - j, np.float32)
+                for i in range(1, j):
+                    reach += table[first[: n - j] | second[i : n - j + i] | chars[j:]]
+                reach *= owner[:-j] == owner[j:]
+                total[: n - j] += DECAY ** (j - 2) * reach
+            out[at : at + len(part)] += np.bincount(owner, total, len(part)) * scale
         return out
 
     def score(self, margin: float) -> float:
@@ -220,6 +215,60 @@ class WordScores:
         return out
 
 
+def changed_forms(word: str) -> list[str]:
+    """A word with one or two letters inserted, one doubled, or one missing; which letters follows from the word."""
+    letters, out = "abcdefghijklmnopqrstuvwxyz", set()
+    for k in range(1, len(word)):
+        draw = zlib.crc32(f"{word} {k}".encode())
+        a, b, c = letters[draw % 26], letters[draw // 26 % 26], letters[draw // 676 % 26]
+        out |= {word[:k] + a + word[k:], word[:k] + b + c + word[k:], word[:k] + word[k - 1] + word[k:]}
+        if len(word) > 4 and k < len(word) - 1:
+            out.add(word[:k] + word[k + 1 :])
+    return sorted(out - {word})
+
+
+def fit_machine(positives: list[tuple[str, float]], negatives: list[str], cost: float, landmarks: list[str], base: float) -> ToxicityModel:
+    """Squared hinge loss over weighted positive strings and negative ones of equal cost, by Newton steps.
+
+    A step looks at every negative through the table of subsequences, which is cheap, and
+    maps only those inside the margin into the kernel space, a block at a time; the others
+    do not count in the loss. It ends when these stay the same.
+    """
+    values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
+    good = values > 1e-6
+    root = vectors[:, good] / np.sqrt(values[good])
+    column, code, part = subsequences(landmarks)
+    size = root.shape[1]
+    model = ToxicityModel(np.zeros(1 << 18), 0.0, 1.0, 0.0, base)
+    strings, costs = [w for w, _ in positives], np.array([c for _, c in positives])
+    w, last = np.zeros(size + 1), None
+    for _ in range(STEPS):
+        sides = []
+        for words, sign, each in ((strings, 1.0, costs), (negatives, -1.0, np.full(len(negatives), cost))):
+            inside = np.flatnonzero(sign * model.margins(words) < 1)
+            sides.append((words, sign, each, inside))
+        if last is not None and all(map(np.array_equal, last, (s[3] for s in sides))):
+            break
+        last = [s[3] for s in sides]
+        left, right = PENALTY * np.eye(size + 1), np.zeros(size + 1)
+        left[-1, -1] = 1e-9
+        for words, sign, each, inside in sides:
+            for at in range(0, len(inside), POINT_WORDS):
+                some = inside[at : at + POINT_WORDS]
+                x = np.column_stack([kernel([words[i] for i in some.tolist()], landmarks) @ root, np.ones(len(some))])
+                weighed = each[some, None] * x
+                left += x.T @ weighed
+                right += sign * weighed.sum(axis=0)
+        w = np.linalg.solve(left, right)
+        model.table = np.bincount(code, part * (root @ w[:-1])[column], 1 << 18)
+        model.bias = float(w[-1])
+    return model
+
+
+def spread(words: list[str], n: int) -> list[str]:
+    return words[:: max(1, len(words) // n)][:n]
+
+
 def fit_rows(rows: list[tuple[str, int]]) -> ToxicityModel:
     """Model of (text, label) rows; with one class only, every score is that class's share."""
     labels = np.array([y for _, y in rows], float)
@@ -227,61 +276,35 @@ def fit_rows(rows: list[tuple[str, int]]) -> ToxicityModel:
     blank = ToxicityModel(np.zeros(1 << 18), 0.0, 1.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))), share)
     if not rows or labels.min() == labels.max():
         return blank
-    one: dict[str, str] = {}  # a single object for each word
+    one: dict[str, str] = {}  # a single object for each window
     bags = [sorted({one.setdefault(r, r) for s in sentences(t) for w in candidates(s) for r in readings(w)}) for t, _ in rows]
     one.clear()
     toxic, clean = {}, {}
     for bag, y in zip(bags, labels, strict=True):
+        side = toxic if y else clean
         for w in bag:
-            side = toxic if y else clean
             side[w] = side.get(w, 0) + 1
     n_toxic, n_clean = labels.sum(), (1 - labels).sum()
     rate = lambda w: np.log((toxic.get(w, 0) + 0.5) / (n_toxic + 1)) - np.log((clean.get(w, 0) + 0.5) / (n_clean + 1))
-    telling = sorted((w for w in toxic if rate(w) > 1.5), key=lambda w: (-toxic[w] * rate(w), w))
+    worth = {w: toxic[w] * rate(w) for w in toxic if rate(w) > 1.5}
+    telling = sorted(worth, key=lambda w: (-worth[w], w))
     common = sorted(clean, key=lambda w: (-clean[w], w))
     if not telling or not common:
         return blank
-    landmarks = telling[:TOXIC_LANDMARKS] + common[:: max(1, len(common) // CLEAN_LANDMARKS)][:CLEAN_LANDMARKS]
-    values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
-    good = values > 1e-6
-    root = vectors[:, good] / np.sqrt(values[good])
-    mapped = lambda words: kernel(words, landmarks) @ root
-    column, code, part = subsequences(landmarks)
-    positive_bags = [bag for bag, y in zip(bags, labels, strict=True) if y and bag]
-    vocabulary = sorted(toxic)
-    sure = {w for w in telling if toxic[w] >= SURE_DOCUMENTS}
-    chosen = [{max(bag, key=lambda w: (rate(w), w))} | sure.intersection(bag) for bag in positive_bags]
-    negatives = [w for w in common if w not in sure]
-    with tempfile.TemporaryFile() as file:  # the points of all clean words, read again block by block
-        for at in range(0, len(negatives), POINT_WORDS):
-            file.write(mapped(negatives[at : at + POINT_WORDS]).astype(np.float32).tobytes())
-        for _ in range(ROUNDS):
-            count: dict[str, float] = {}
-            for words in chosen:
-                for w in words:
-                    count[w] = count.get(w, 0) + 1
-            kinds = sorted(count)
-            weight = np.array([count[w] for w in kinds])
-
-            def blocks(kinds=kinds, weight=weight):
-                for at in range(0, len(kinds), POINT_WORDS):
-                    some = kinds[at : at + POINT_WORDS]
-                    yield mapped(some), np.ones(len(some)), weight[at : at + POINT_WORDS] / weight.sum()
-                file.seek(0)
-                while data := file.read(POINT_WORDS * root.shape[1] * 4):
-                    x = np.frombuffer(data, np.float32).reshape(-1, root.shape[1])
-                    yield x, -np.ones(len(x)), np.full(len(x), 1 / n_clean)
-
-            weights = squared_hinge(blocks, root.shape[1])
-            by_landmark = root @ weights[:-1]
-            table = np.bincount(code, part * by_landmark[column], 1 << 18)
-            model = ToxicityModel(table, float(weights[-1]), 1.0, 0.0, blank.base)
-            margin = dict(zip(vocabulary, model.margins(vocabulary).tolist(), strict=True))
-            chosen = [{max(bag, key=lambda w: (margin[w], w))} | sure.intersection(bag) for bag in positive_bags]
-    vocabulary = sorted({*toxic, *clean})
-    margin = dict(zip(vocabulary, model.margins(vocabulary).tolist(), strict=True))
+    strong = [w for w in telling if worth[w] >= STRONG_SHARE * worth[telling[0]] and len(w) >= 4]
+    sure = {w for w in telling if toxic[w] >= min(SURE_DOCUMENTS, n_toxic) and rate(w) > 2 and len(w) >= 4} or set(telling[:1])
+    forms = {w: [f for f in changed_forms(w) if f not in clean] for w in strong}
+    total = float(sum(toxic[w] for w in sure))
+    positives = [(w, toxic[w] / total) for w in sorted(sure)]
+    positives += [(f, FORMS_WEIGHT / len(strong) / len(fs)) for w, fs in forms.items() for f in fs]
+    every = sorted({f for fs in forms.values() for f in fs})
+    landmarks = list(dict.fromkeys(telling[:TELLING_LANDMARKS] + spread(every, FORM_LANDMARKS) + spread(common, CLEAN_LANDMARKS)))
+    model = fit_machine(positives, [w for w in common if w not in sure], 1 / n_clean, landmarks, blank.base)
+    windows = sorted({*toxic, *clean})
+    margin = dict(zip(windows, model.margins(windows).tolist(), strict=True))
     best = np.array([max((margin[w] for w in bag), default=-1.0) for bag in bags])
-    model.slope, model.shift = sigmoid_fit(best, labels)
+    model.slope, _ = sigmoid_fit(best, labels)
+    model.shift = -model.slope * float(np.quantile(best[labels == 0], 1 - CLEAN_SHARE))
     return model
 
 

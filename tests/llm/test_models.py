@@ -76,9 +76,23 @@ def test_toxicity_query(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
     scores = np.array([r["score"] for r in held])
     labels = np.array([truth[r["doc_id"]] for r in held])
-    # A tenth of the toxic documents here, of 352 to learn from, hold no insult at all.
     assert auc(scores, labels) > 0.9
-    assert (scores[labels == 0] >= 0.5).mean() < 0.06 and (scores[labels == 1] >= 0.5).mean() > 0.85
+    assert (scores[labels == 0] >= 0.5).mean() <= 0.04 and (scores[labels == 1] >= 0.5).mean() > 0.88
+
+
+def test_changed_insults_in_a_plain_sentence(spark):
+    """Of the ten English words that tell most, changed in the middle of a sentence, and of none in a plain one."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    learn = docs.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").join(labels.select("doc_id", "toxic"), "doc_id")
+    words = "trash pathetic worthless idiot disgusting loser scum moron clown stupid".split()
+    scores = toxicity.WordScores(toxicity.fit(learn))
+    found = lambda change: sum(s >= 0.5 for s in scores.scores([f"the weather near the river {change(w)} is fine today" for w in words]))
+    half = lambda w: len(w) // 2
+    assert found(lambda w: w) == 10 and found(lambda w: "bridge") == 0
+    assert found(lambda w: w[: half(w)] + "x" + w[half(w) :]) >= 7
+    assert found(lambda w: w[: half(w)] + " " + w[half(w) :]) >= 8
+    assert found(lambda w: w[: half(w)] + w[half(w)] + w[half(w) :]) >= 9
+    assert found(lambda w: w[: half(w)] + w[half(w) + 1 :]) >= 7
 
 
 @pytest.fixture(scope="module")
@@ -88,39 +102,30 @@ def insults():
     return toxicity.fit_rows(rows)
 
 
-@pytest.mark.parametrize("word", ["idiot", "IDIOT!", "i.d.i.o.t", "id-iot", "idiiot", "i d i o t", "m*oron"])
+@pytest.mark.parametrize("word", ["idiot", "IDIOT!", "i.d.i.o.t", "id-iot", "idiiot", "i d i o t", "m*oron", "idxiot", "mozron", "id iot", "mor on", "idot"])
 def test_gapped_and_inserted_characters(insults, word):
     plain, insult = toxicity.WordScores(insults).scores([CLEAN[0], f"the {word} is at home"])
     assert insult > 0.5 > plain
 
 
-def test_every_clean_word_is_a_negative(monkeypatch):
+def test_machine_minimizes_the_loss_over_every_negative():
+    """The gradient of the whole loss, inactive strings included, is zero in the kernel space."""
     letters = "bcdfghjklmnprstvwz"
-    rare = [f"{a}{v}{b}{w}{c}" for a in letters for v in "aeiou" for b in letters for w in "ao" for c in letters[:6]]  # 19,440 words
-    rows = [(" ".join(rare[i : i + 100]), 0) for i in range(0, len(rare), 100)] + [(f"you are an idiot said number {x}", 1) for x in rare[:20]]
-    seen = []
-    solve = toxicity.squared_hinge
-
-    def spy(blocks, *args):
-        seen.append(sum(int((y < 0).sum()) for _, y, _ in blocks()))
-        return solve(blocks, *args)
-
-    monkeypatch.setattr(toxicity, "squared_hinge", spy)
-    model = toxicity.fit_rows(rows)
-    assert seen == [len(set(rare))] * toxicity.ROUNDS
-    insult, plain = toxicity.WordScores(model).scores(["an idiot", rare[-1]])
-    assert insult > 0.5 > plain
-
-
-def test_newton_steps_over_blocks_minimize_the_loss():
-    rng = np.random.default_rng(5)
-    x, noise = rng.normal(size=(400, 6)), rng.normal(size=400)
-    y, cost = np.where(x[:, 0] + 0.5 * noise > 0, 1.0, -1.0), rng.uniform(0.1, 1, 400)
-    blocks = lambda: ((x[i : i + 90], y[i : i + 90], cost[i : i + 90]) for i in range(0, 400, 90))
-    w = toxicity.squared_hinge(blocks, 6)
-    slack = np.maximum(0, 1 - y * (x @ w[:-1] + w[-1]))
-    slope = np.concatenate([toxicity.PENALTY * w[:-1], [0]]) - np.column_stack([x, np.ones(400)]).T @ (cost * slack * y)
-    assert np.abs(slope).max() < 1e-6
+    negatives = sorted({f"{a}{v}{b}{w}{c}" for a in letters for v in "ae" for b in letters[:9] for w in "ao" for c in letters[:3]})
+    positives = [("idiot", 0.5), ("moron", 0.3), ("idiiot", 0.2)]
+    landmarks = ["idiot", "moron", *negatives[::200]]
+    model = toxicity.fit_machine(positives, negatives, 0.002, landmarks, 0.1)
+    values, vectors = np.linalg.eigh(toxicity.kernel(landmarks, landmarks))
+    root = vectors[:, values > 1e-6] / np.sqrt(values[values > 1e-6])
+    strings = [w for w, _ in positives] + negatives
+    y = np.array([1.0] * 3 + [-1.0] * len(negatives))
+    cost = np.array([c for _, c in positives] + [0.002] * len(negatives))
+    x = np.column_stack([toxicity.kernel(strings, landmarks) @ root, np.ones(len(strings))])
+    w = np.linalg.lstsq(x, model.margins(strings), rcond=None)[0]
+    assert np.allclose(x @ w, model.margins(strings), atol=1e-3)
+    slack = np.maximum(0, 1 - y * (x @ w))
+    slope = np.concatenate([toxicity.PENALTY * w[:-1], [0]]) - x.T @ (cost * slack * y)
+    assert np.abs(slope).max() < 1e-3
 
 
 def test_kernel_is_the_subsequence_kernel():
@@ -137,7 +142,8 @@ def test_kernel_is_the_subsequence_kernel():
                     f[g] = f.get(g, 0) + toxicity.DECAY ** (b - 2)
         feats.append(f)
     dot = lambda a, b: sum(v * b.get(g, 0) for g, v in a.items())
-    want = [[dot(a, b) / np.sqrt(dot(a, a) * dot(b, b)) for b in feats] for a in feats]
+    size = lambda w: sum(toxicity.DECAY ** (2 * (b - 2)) * max(0, len(w) + 2 - b) for _, b in toxicity.GAPS)
+    want = [[dot(a, b) / np.sqrt(size(v) * size(w)) for b, w in zip(feats, words, strict=True)] for a, v in zip(feats, words, strict=True)]
     assert np.allclose(k, want, atol=1e-6)
 
 
