@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starsift.functions.coerce import flag, number_or
+from starsift.operators.ordering import running_before
 from starsift.schemas import NUMERIC_FEATURES, TEXT_COLUMN
+from starsift.staging import stage
 
 
 def _with_flag(df: DataFrame) -> DataFrame:
@@ -73,6 +76,22 @@ def decile_edges(reference: DataFrame, column: str, bins: int = 10) -> list[floa
     return sorted(set(float(q) for q in found or []))
 
 
+def exact_quantiles(df: DataFrame, column: str, quantiles: Sequence[float]) -> list[float]:
+    """For each quantile the smallest value that so large a share of the rows does not exceed; nulls left out.
+
+    Rows shrink to one a value, and running totals over ranges of the values give their
+    ranks, so no task sorts the whole column.
+    """
+    levels = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = stage(running_before(levels, "value", "n"), "ranks")
+    total = ranked.agg(F.sum("n")).first()[0]
+    if not total:
+        return []
+    reached = F.col("before") + F.col("n")
+    found = ranked.agg(*[F.min(F.when(reached >= math.ceil(q * total - 1e-9), F.col("value"))).alias(f"q{i}") for i, q in enumerate(quantiles)]).first()
+    return [float(v) for v in found]
+
+
 def population_stability(
     reference: DataFrame, current: DataFrame, column: str, edges: Sequence[float], epsilon: float = 1e-4
 ) -> DataFrame:

@@ -135,6 +135,23 @@ def decile_edges(spark, sf):
     return train.sparkSession.createDataFrame([(e,) for e in edges], "edge double")
 
 
+@query(
+    "D4",
+    f""", edges AS (SELECT DISTINCT unnest(quantile_disc(body_word_count, [{_QUANTILES}])) AS e FROM labelled WHERE split = 'train'),
+      binned AS (SELECT split, (SELECT count(*) FROM edges WHERE e <= body_word_count) AS bin FROM labelled),
+      shares AS (SELECT bin, greatest(count(*) FILTER (WHERE split = 'train') / (SELECT count(*) FROM binned WHERE split = 'train'), 1e-4) AS r,
+          greatest(count(*) FILTER (WHERE split = 'test') / (SELECT count(*) FROM binned WHERE split = 'test'), 1e-4) AS c
+        FROM (SELECT unnest(range(0, (SELECT count(*) FROM edges) + 1)) AS bin) LEFT JOIN binned USING (bin) GROUP BY bin)
+      SELECT round(sum((c - r) * ln(c / r)), 6) AS psi, CAST(count(*) AS INTEGER) AS n_bins FROM shares""",
+)
+def psi_deciles(spark, sf):
+    """Stability of the word counts over the exact deciles of the training part."""
+    rows = labelled(spark, sf)
+    train, test = (rows.where(F.col("split") == part) for part in ("train", "test"))
+    edges = sorted(set(drift.exact_quantiles(train, "body_word_count", [i / 10 for i in range(1, 10)])))
+    return drift.population_stability(train, test, "body_word_count", edges).select(F.round("psi", 6).alias("psi"), "n_bins")
+
+
 @query(
     "M20 M21",
     """SELECT count(*) AS n, 0 AS moods_differ, 0 AS scores_differ FROM reviews WHERE review_body IS NOT NULL""",

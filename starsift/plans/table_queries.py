@@ -19,6 +19,7 @@ from starsift.plans.inputs import (
 from starsift.plans.registry import query, rounded
 from starsift.schemas import PRODUCT_FEATURES, REVIEW_SCHEMA, REVIEWER_FEATURES
 from starsift.sources import corpus, reports, reviews
+from starsift.staging import stage_path
 
 
 def known_or_blank(column: str):
@@ -459,6 +460,12 @@ def corpus_import(spark, sf):
     return out.withColumn("body_md5", F.md5(F.col("review_body").cast("binary"))).drop("review_id", "review_body")
 
 
+def shown(page):
+    body = F.md5(F.col("review_body").cast("binary")).alias("body_md5")
+    stars = F.coalesce("star_rating", F.lit(0)).alias("star_rating")
+    return page.select("review_id", stars, "review_date", known_or_blank("verified_purchase"), "review_headline", body)
+
+
 @query(
     "S13",
     """SELECT review_id, coalesce(star_rating, 0) AS star_rating, review_date,
@@ -467,10 +474,22 @@ def corpus_import(spark, sf):
        FROM reviews ORDER BY review_id LIMIT 100 OFFSET 250""",
 )
 def browse_page(spark, sf):
-    page = reviews.browse(raw_reviews(spark, sf), skip=250, n=100)
-    body = F.md5(F.col("review_body").cast("binary")).alias("body_md5")
-    stars = F.coalesce("star_rating", F.lit(0)).alias("star_rating")
-    return page.select("review_id", stars, "review_date", known_or_blank("verified_purchase"), "review_headline", body)
+    return shown(reviews.browse(raw_reviews(spark, sf), skip=250, n=100))
+
+
+@query(
+    "S13",
+    """SELECT review_id, coalesce(star_rating, 0) AS star_rating, review_date,
+         coalesce(CAST(verified_purchase AS VARCHAR), '') AS verified_purchase, review_headline,
+         md5(review_body) AS body_md5
+       FROM reviews ORDER BY review_id LIMIT 100 OFFSET 700""",
+)
+def browse_indexed(spark, sf):
+    """A page further on, from a table with an index of positions."""
+    path = stage_path(spark, "pages")
+    reviews.write_pages(raw_reviews(spark, sf), path)
+    return shown(reviews.read_page(spark, path, skip=700, n=100))
+
 
 
 @query("S14", f"SELECT {_PRODUCT_AGG} FROM product_agg ORDER BY product_id, product_category LIMIT 5")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starsift.functions.coerce import number
 from starsift.functions.text import strip
 from starsift.schemas import CORPUS_SCHEMA, REVIEW_SCHEMA
+from starsift.staging import stage
 
 # Fixed value: longest headline kept.
 HEADLINE_CHARS = 200
@@ -126,3 +127,26 @@ def import_counts(spark: SparkSession, path: str) -> DataFrame:
     return parse_lines(read_lines(spark, path)).agg(
         total.alias("read"), written.alias("written"), (total - written).alias("skipped")
     )
+
+
+def import_table(spark: SparkSession, source: str, path: str, category: str | None = None, limit: int = 0) -> DataFrame:
+    """Write the reviews of corpus files to ``path`` and return (read, written, skipped) of that same pass.
+
+    Each line is parsed once: the counts are observed while the table is written. With a
+    ``limit`` the lines are parsed into a staged table first, which is then cut; the
+    counts are those of all lines there.
+    """
+    named = F.lit(category) if category else category_of(F.col("file_name"))
+    parsed = parse_lines(read_lines(spark, source))
+    if limit > 0:
+        parsed = stage(parsed, "parsed-lines")
+        kept = first_rows(parsed.where("usable"), limit)
+        kept.select(*to_review(F.col("record"), named)).write.mode("overwrite").parquet(path)
+        one = parsed.agg(F.count(F.lit(1)).alias("read"), F.count_if(F.col("usable")).alias("usable")).first().asDict()
+    else:
+        seen = Observation("import")
+        watched = parsed.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col("usable")).alias("usable"))
+        watched.where("usable").select(*to_review(F.col("record"), named)).write.mode("overwrite").parquet(path)
+        one = seen.get
+    row = (one["read"] or 0, one["usable"] or 0, (one["read"] or 0) - (one["usable"] or 0))
+    return spark.createDataFrame([row], "read bigint, written bigint, skipped bigint")
