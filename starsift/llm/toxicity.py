@@ -63,12 +63,17 @@ def candidates(text: str) -> list[str]:
     """Windows of a text in lower case: words without marks around them, short neighbours joined, spelt-out words joined."""
     text = text.lower()
     words = [w.strip(EDGES) for w in text.split()]
-    joined = [a + b for a, b in zip(words, words[1:], strict=False) if PART[0] <= len(a) <= PART[1] and PART[0] <= len(b) <= PART[1] and JOINED[0] <= len(a) + len(b) <= JOINED[1]]
+    sizes = list(map(len, words))
+    (least, most), (short, long) = PART, JOINED
+    part = [least <= n <= most for n in sizes]
+    joined = [words[i] + words[i + 1] for i in range(len(words) - 1) if part[i] and part[i + 1] and short <= sizes[i] + sizes[i + 1] <= long]
     return words + joined + [re.sub(r"\s", "", m) for m in SPELT.findall(text)]
 
 
 def readings(word: str) -> list[str]:
     """The strings a word is compared as: itself, without inserted marks, and windows of long ones."""
+    if word.isalnum() and len(word) <= WORD_CHARS:
+        return [word]
     plain = "".join(c for c in word if c.isalnum())
     out = [word] if plain == word else [word, plain]
     short = [w for w in out if w and len(w) <= WORD_CHARS]
@@ -193,26 +198,24 @@ class WordScores:
         self.model, self.known = model, {}
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > MEMO_WORDS:
-            self.known = {}
         parts = [(w, r) for w in words for r in readings(w)]
-        for w in words:
-            self.known[w] = -np.inf
         margins = self.model.margins([r for _, r in parts]).tolist() if parts else []
+        known = self.known
+        known.update(dict.fromkeys(words, -np.inf))
         for (w, _), m in zip(parts, margins, strict=True):
-            self.known[w] = max(self.known[w], m)
+            if m > known[w]:
+                known[w] = m
 
     def scores(self, texts: list[str]) -> list[float]:
-        out = []
-        for text in texts:
-            words = candidates(text)
-            found = list(map(self.known.get, words))
-            if None in found:
-                self.learn({w for w, m in zip(words, found, strict=True) if m is None})
-                found = [m if m is not None else self.known[w] for w, m in zip(words, found, strict=True)]
-            best = max(found, default=-np.inf)
-            out.append(self.model.base if best == -np.inf else self.model.score(best))
-        return out
+        windows = [candidates(t) for t in texts]
+        held = set().union(*windows)
+        missing = held.difference(self.known)
+        if missing:
+            if len(self.known) + len(missing) > MEMO_WORDS:
+                self.known, missing = {}, held
+            self.learn(missing)
+        best = [max(map(self.known.__getitem__, w), default=-np.inf) for w in windows]
+        return [self.model.base if m == -np.inf else self.model.score(m) for m in best]
 
 
 def changed_forms(word: str) -> list[str]:

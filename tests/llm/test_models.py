@@ -156,3 +156,55 @@ def test_toxicity_edge_cases(docs_of, odd_texts, labels_of, insults):
     one = toxicity.fit(docs_of([(1, "fine"), (2, None)]).join(labels_of([(1, 0), (2, 1)]), "doc_id"))
     for model in (nothing, one):
         assert all(r["score"] < 0.5 for r in toxicity.score_toxicity(docs_of(odd_texts), model, ["doc_id"]).collect())
+
+
+def test_scores_are_those_of_the_most_toxic_window(insults):
+    """Every window's margin summed subsequence by subsequence, as the docstring says."""
+
+    def margin(word):
+        chars = [0, *toxicity.char_class(np.array([ord(c) for c in word])).tolist(), 63]
+        total, size = 0.0, 0.0
+        for i, j in toxicity.GAPS:
+            for at in range(len(chars) - j):
+                total += toxicity.DECAY ** (j - 2) * insults.table[chars[at] << 12 | chars[at + i] << 6 | chars[at + j]]
+                size += toxicity.DECAY ** (2 * (j - 2))
+        return insults.bias + total / np.sqrt(size)
+
+    for text in [*CLEAN, "you id iot", "an i d i o t!", "the-moron " * 3, "a" * 90, "x"]:
+        windows = {r for w in toxicity.candidates(text) for r in toxicity.readings(w)}
+        best = max(map(margin, windows))
+        want = 1 / (1 + np.exp(-np.clip(insults.slope * best + insults.shift, -30, 30)))
+        assert toxicity.WordScores(insults).scores([text])[0] == pytest.approx(want, abs=1e-4)
+    assert toxicity.WordScores(insults).scores(["", "..."]) == [insults.base] * 2
+
+
+def test_language_is_that_of_the_nearest_centroid(docs_of):
+    """Cosines, centroids and limits by plain loops over n-grams."""
+    texts = {"en": CLEAN, "de": ["der hund und die katze", "ein brot und milch", "das wetter ist heute gut", "wir gehen an den fluss"]}
+    learn = docs_of([(i, t, name) for i, (name, t) in enumerate((n, t) for n, ts in texts.items() for t in ts)])
+    model = language_id.fit(learn)
+
+    def vector(text):
+        chars = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+        v = np.zeros(language_id.BUCKETS)
+        for n in (1, 2, 3):
+            for i in range(len(chars) - n + 1):
+                if n == 1 and chars[i] == " ":
+                    continue
+                code = ord(chars[i]) * 0x9E3779B1 % 2**32
+                if n > 1:
+                    code = (code ^ ord(chars[i + 1])) * 0x85EBCA6B % 2**32
+                if n > 2:
+                    code = (code ^ ord(chars[i + 2])) * 0xC2B2AE35 % 2**32
+                v[code >> 32 - language_id.BUCKET_BITS] += 1
+        return v
+
+    for text in ["the dog and the cat", "milch und brot", "heute an home", "Xylophon QUIZ"]:
+        counts = vector(text)
+        weighed = counts * model.weights
+        cosines = [float(weighed @ c) / (np.linalg.norm(weighed) * np.linalg.norm(c)) for c in model.centroids]
+        best = int(np.argmax(cosines))
+        limit = model.reject_below[best][int(np.log2(counts.sum()))]
+        name, score, rejected = (x[0] for x in model.predict([text.encode()]))
+        assert name == model.languages[model.owners[best]] and score == pytest.approx(cosines[best], abs=1e-5)
+        assert rejected == (cosines[best] < limit)
