@@ -380,16 +380,16 @@ def dropped_by_join(docs: DataFrame, index: LineIndex, keep: list[str], text: st
 
         def rows(texts: list[bytes]) -> dict[str, list]:
             marks = [xxhash.xxh3_128_digest(t) for t in texts]
-            return {"mark": marks, "keys": [sorted({k for k in line_keys(t, min_chars)[1] if k}) for t in texts]}
+            parts = [halves(sorted({k for k in line_keys(t, min_chars)[1] if k})) for t in texts]
+            return {"mark": marks, "hi": [hi.tolist() for hi, _ in parts], "lo": [lo.tolist() for _, lo in parts]}
 
         return rows
 
     frequent = index.counts.where(F.col("n") >= index.min_docs).select("hi", "lo")
-    own = map_texts(docs, text, [], "mark binary, keys array<binary>", make)
-    found = own.select("mark", F.explode("keys").alias("key")).distinct()
-    little_endian = lambda at: F.conv(F.hex(F.reverse(F.substring("key", at, 8))), 16, -10).cast("bigint")
-    hits = found.withColumns({"hi": little_endian(1), "lo": little_endian(9)}).join(frequent, ["hi", "lo"], "left_semi")
-    by_text = hits.groupBy("mark").agg(F.collect_list("key").alias("drop"))
+    own = map_texts(docs, text, [], "mark binary, hi array<bigint>, lo array<bigint>", make)
+    found = own.select("mark", F.explode(F.arrays_zip("hi", "lo")).alias("k")).select("mark", "k.hi", "k.lo").distinct()
+    hits = found.join(frequent, ["hi", "lo"], "left_semi")
+    by_text = hits.groupBy("mark").agg(F.collect_list(F.struct("hi", "lo")).alias("drop"))
     mark, drop, body = (fresh_name(docs, n) for n in ("text_mark", "drop_keys", "body"))
 
     def marks():
@@ -408,7 +408,7 @@ def dropped_by_join(docs: DataFrame, index: LineIndex, keep: list[str], text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, body):
-                sets = [set(d or ()) for d in part.column(drop).to_pylist()]
+                sets = [{np.array([k["hi"], k["lo"]], "<i8").tobytes() for k in d or ()} for d in part.column(drop).to_pylist()]
                 texts = [t.encode() for t in part.column(body).to_pylist()]
                 new = without(texts, lambda keys, owner, sets=sets: np.array([k in sets[i] for k, i in zip(keys, owner, strict=True)], bool), min_chars)
                 columns = [part.column(f.name) if f.name in held else pa.array(new[f.name], type=f.type) for f in arrow]
