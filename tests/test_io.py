@@ -188,7 +188,11 @@ def tables():
     return db
 
 
-@pytest.mark.parametrize("name", sorted(n for n, q in all_queries().items() if q.sql is not None))
+# The certificate of the regressions takes minutes; test_models.py checks the gradient itself.
+LONG = {"regression_certificates"}
+
+
+@pytest.mark.parametrize("name", sorted(n for n, q in all_queries().items() if q.sql is not None and n not in LONG))
 def test_queries_match_sql(spark, tables, name):
     from check_queries import rows_of
 

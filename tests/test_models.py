@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starsift.operators import isotonic, trees
+from starsift.operators import certificates, isotonic, trees
 from starsift.sources import reviews
 
 
@@ -115,3 +115,23 @@ def test_far_pages_open_the_ranges_they_cross(spark, tmp_path):
         assert got == [f"{i:05d}" for i in range(skip, min(skip + n, 2000))]
     plan = reviews.read_page(spark, f"{tmp_path}/pages", 1234, 5)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and math.isfinite(len(plan))
+
+
+def test_gradient_of_the_loss(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(2)
+    x, w = rng.normal(size=(60, 3)) * (rng.random((60, 3)) < 0.7), rng.uniform(0.5, 2, 60)
+    for classes in (2, 3):
+        y = rng.integers(0, classes, 60)
+        rows = spark.createDataFrame([(Vectors.sparse(3, {j: v for j, v in enumerate(a) if v}) if i % 2 else Vectors.dense(a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(x, y, w, strict=True))], ["features", "label", "w"])
+        model = LogisticRegression(maxIter=3, regParam=0.1, standardization=False, weightCol="w", family="binomial" if classes == 2 else "multinomial").fit(rows)
+        found = {(r["class"], r["idx"]): r for r in certificates.loss_gradient(model, rows, 0.1, "w").collect()}
+        coef, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+        z = x @ coef.T + bias
+        p = np.column_stack([1 - 1 / (1 + np.exp(-z[:, 0])), 1 / (1 + np.exp(-z[:, 0]))]) if classes == 2 else np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+        for k, c in enumerate([1] if classes == 2 else range(3)):
+            miss = w * (p[:, c] - (y == c)) / w.sum()
+            want = [*(x.T @ miss + 0.1 * coef[k]), miss.sum()]
+            assert np.allclose(want, [found[(c, i)]["gradient"] for i in (0, 1, 2, -1)], atol=1e-8)
