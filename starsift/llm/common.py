@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -55,6 +57,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
+def give_back() -> None:
+    """Return what a finished task freed to the system: idle workers stay for the next task, beside the JVM's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def map_texts(df: DataFrame, text: str, keep: list[str], added: str, make: Callable[[], TextRows]) -> DataFrame:
     """Columns ``keep`` of ``df`` and the columns ``added`` (a DDL schema) computed from whole texts.
 
@@ -91,6 +101,7 @@ def map_texts(df: DataFrame, text: str, keep: list[str], added: str, make: Calla
                     pa.field(f.name, c.type, True) for f, c in zip(arrow, columns, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
+        give_back()
 
     return source.mapInArrow(run, out).toDF(*keep, *new.names)
 
