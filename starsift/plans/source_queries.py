@@ -26,7 +26,7 @@ from starsift.staging import stage_path
 def review_files(spark, sf):
     """Reviews written as JSON lines, read with the fixed schema, written as Parquet and read again."""
     lines, copy = stage_path(spark, "review-lines"), stage_path(spark, "review-table")
-    raw_reviews(spark, sf).select(*REVIEW_SCHEMA.names).write.json(lines)
+    raw_reviews(spark, sf).select(*REVIEW_SCHEMA.names).write.json(lines, compression="gzip")
     reviews.write_table(reviews.read_reviews(spark, lines), copy)
     body = F.coalesce(F.md5(F.col("review_body").cast("binary")), F.lit("")).alias("body_md5")
     stars, day = F.coalesce("star_rating", F.lit(-1)).alias("star_rating"), F.coalesce("review_date", F.lit("")).alias("review_date")
