@@ -7,6 +7,7 @@ import gc
 import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +66,32 @@ def give_back() -> None:
         trim(0)
 
 
+#: Rows of arrays that tasks hand on to be added up.
+ARRAY_ROWS = "key int, v binary"
+
+
+def array_rows(arrays: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """Arrays of whole numbers by key, as ``ARRAY_ROWS``."""
+    held = [v.astype(np.int64).tobytes() for v in arrays.values()]
+    return pa.RecordBatch.from_arrays([pa.array(list(arrays), pa.int32()), pa.array(held, pa.binary())], ["key", "v"])
+
+
+def array_sums(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Sum of the arrays of each key; tasks add up as rows come in, so only one array a key reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, v in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                one = np.frombuffer(v.as_buffer(), np.int64)
+                total[k] = total[k] + one if k in total else one.copy()
+        yield array_rows(total)
+
+    small_batches(parts.sparkSession)
+    rows = parts.repartition("key").mapInArrow(run, ARRAY_ROWS).collect()
+    return {r["key"]: np.frombuffer(bytes(r["v"]), np.int64) for r in rows}
+
+
 def map_texts(df: DataFrame, text: str, keep: list[str], added: str, make: Callable[[], TextRows]) -> DataFrame:
     """Columns ``keep`` of ``df`` and the columns ``added`` (a DDL schema) computed from whole texts.
 

@@ -2,8 +2,8 @@
 
 Texts become counts of hashed letter n-grams (1 to 3 letters, words padded by a
 blank), weighted by the logarithm of their rarity over all learning documents and
-scaled to length 1. The vectors of a bounded sample of each language are clustered;
-a text takes the language of the centroid with the largest cosine, and is rejected
+scaled to length 1. The vectors of each language are clustered, all of them, in passes
+over their written counts; a text takes the language of the centroid with the largest cosine, and is rejected
 where that cosine is below what texts of that length have with their own language.
 Whole texts and passages of all lengths tell how near that is, for each centroid.
 """
@@ -11,20 +11,19 @@ Whole texts and passages of all lengths tell how near that is, for each centroid
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starsift.llm.common import map_texts, slices
+from starsift.llm.common import ARRAY_ROWS, array_rows, array_sums, give_back, map_texts, slices, small_batches
+from starsift.staging import stage, stage_path
 
 BUCKET_BITS = 12
 BUCKETS = 1 << BUCKET_BITS
-#: Documents of one language that the clustering sees, about; the rarity weights see all.
-FIT_DOCUMENTS = 800
 CENTROIDS = 4
 ROUNDS = 12
 #: A text is rejected if it is less similar than this share of texts of its language and length.
@@ -33,8 +32,10 @@ REJECT_QUANTILE = 0.005
 LIMIT_TEXTS = 200
 #: Lengths are told apart by the binary logarithm of the number of n-grams, up to this one.
 LENGTHS = 18
-#: With too few texts of a length: this share of what the 1 in 1000 least similar text of the sample has.
+#: With too few texts of a length: this share of what the 1 in 1000 least similar learnt text has.
 REJECT_SHARE = 0.5
+#: Cosines are counted in this many bins, vectors are added up in this part of their length, and so many at once.
+BINS, UNITS, CHUNK = 1 << 13, 1 << 20, 256
 
 #: Letters of the basic plane; rarer planes are looked up where they occur.
 LETTER = np.frompyfunc(lambda c: chr(c).isalpha(), 1, 1)(np.arange(0x10000)).astype(bool)
@@ -88,22 +89,21 @@ def passages(text: bytes) -> list[bytes]:
     return out
 
 
-def length_limits(centroid: np.ndarray, length: np.ndarray, cosine: np.ndarray, n_centroids: int, least: float) -> np.ndarray:
+def length_limits(found: dict[tuple[int, int], tuple[int, float]], n_centroids: int, least: float) -> np.ndarray:
     """(centroids, lengths): least cosine that is not rejected, from texts of known language.
 
-    A length with too few texts takes the limit of the next shorter one, ``least`` if there is none.
+    ``found`` has the number of texts and their limit by (centroid, length), and by (-1, length) for all
+    centroids. A length with too few texts takes the limit of the next shorter one, ``least`` if there is none.
     """
     out = np.full((n_centroids, LENGTHS), least)
     for k in range(LENGTHS):
-        here = length == k
-        if here.sum() < LIMIT_TEXTS:
+        n, limit = found.get((-1, k), (0, least))
+        if n < LIMIT_TEXTS:
             out[:, k] = out[:, k - 1] if k else least
             continue
-        out[:, k] = np.quantile(cosine[here], REJECT_QUANTILE)
         for c in range(n_centroids):
-            own = here & (centroid == c)
-            if own.sum() >= LIMIT_TEXTS:
-                out[c, k] = np.quantile(cosine[own], REJECT_QUANTILE)
+            own, own_limit = found.get((c, k), (0, limit))
+            out[c, k] = own_limit if own >= LIMIT_TEXTS else limit
     return out
 
 
@@ -137,41 +137,161 @@ class LanguageModel:
         return names, score.astype(float).tolist(), (~spoken | (score < self.reject_below[best, length_class(counts)])).tolist()
 
 
-def gram_rarity(docs: DataFrame, text: str) -> np.ndarray:
+def counted_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """(l, gaps, counts) of every row, written: which buckets occur, as steps from the one before, and how often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "t"):
+                gaps, counts = [], []
+                for t in part.column("t").to_pylist():
+                    all_counts = gram_counts(t or b"")
+                    found = np.flatnonzero(all_counts)
+                    gaps.append(np.diff(found, prepend=0).astype(np.uint16).tobytes())
+                    counts.append(all_counts[found].astype(np.uint32).tobytes())
+                yield pa.RecordBatch.from_arrays([part.column("l"), pa.array(gaps, pa.binary()), pa.array(counts, pa.binary())], ["l", "gaps", "counts"])
+        give_back()
+
+    small_batches(docs.sparkSession)
+    source = docs.select(F.col(f"`{lang}`").cast("string").alias("l"), F.col(f"`{text}`").cast("binary").alias("t"))
+    path = stage_path(docs.sparkSession, "language-grams")
+    source.mapInArrow(run, "l string, gaps binary, counts binary").write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema("l string, gaps binary, counts binary").parquet(path)
+
+
+def dense_counts(gaps: list[bytes], counts: list[bytes]) -> np.ndarray:
+    """Rows of ``counted_grams`` as (rows, buckets)."""
+    sizes = [len(g) // 2 for g in gaps]
+    out = np.zeros((len(gaps), BUCKETS), np.float32)
+    steps = np.frombuffer(b"".join(gaps), np.uint16).astype(np.int64)
+    ends = np.cumsum(sizes)
+    run = np.cumsum(steps)
+    before = np.concatenate(([0], run))[np.concatenate(([0], ends[:-1])).astype(np.int64)] if len(gaps) else run
+    out[np.repeat(np.arange(len(gaps)), sizes), run - np.repeat(before, sizes)] = np.frombuffer(b"".join(counts), np.uint32)
+    return out
+
+
+def gram_rarity(grams: DataFrame) -> np.ndarray:
     """Weight of each bucket: log of (documents + 1) / (documents with it + 1), over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS + 1, np.int64)
         for batch in batches:
-            for part in slices(batch, "t"):
-                for t in part.column("t").to_pylist():
-                    total[:-1] += gram_counts(t or b"") > 0
-                    total[-1] += 1
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found])], ["bucket", "n"])
-
-    source = docs.select(F.col(f"`{text}`").cast("binary").alias("t"))
-    rows = source.mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    seen = np.zeros(BUCKETS + 1)
-    for r in rows:
-        seen[r["bucket"]] = r["n"]
+            for at in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(at, CHUNK)
+                total[:-1] += np.count_nonzero(dense_counts(part.column(0).to_pylist(), part.column(1).to_pylist()), axis=0)
+                total[-1] += part.num_rows
+        yield array_rows({0: total})
+
+    seen = array_sums(grams.select("gaps", "counts").mapInArrow(count, ARRAY_ROWS)).get(0, np.zeros(BUCKETS + 1))
     return np.log((seen[-1] + 1) / (seen[:-1] + 1)) + 0.05
 
 
-def spherical_clusters(rows: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Centroids of length 1; starts are chosen by farthest-first search, so no chance is involved."""
-    starts = [unit(rows.mean(axis=0))]
-    while len(starts) < min(k, len(rows)):
-        starts.append(rows[(rows @ np.stack(starts).T).max(axis=1).argmin()])
-    centers = np.stack(starts)
+def each_language(grams: DataFrame, languages: list[str], weights: np.ndarray, held: object, schema: str, make: Callable) -> DataFrame:
+    """One pass over all vectors: ``make(held)`` is (take, done); ``take`` gets a language's index and vectors
+    of length 1, ``done`` returns the batches of the task. Rows without a letter are left out."""
+    spark = grams.sparkSession
+    shared = spark.sparkContext.broadcast((languages, weights, held))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, rarity, own = shared.value
+        at_name = {name: i for i, name in enumerate(names)}
+        take, done = make(own)
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(at, CHUNK)
+                gaps, counts = part.column(1).to_pylist(), part.column(2).to_pylist()
+                speaker = np.array([at_name.get(x, -1) if g else -1 for x, g in zip(part.column(0).to_pylist(), gaps, strict=True)])
+                rows = unit((dense_counts(gaps, counts) * rarity).astype(np.float32))
+                for i in np.unique(speaker[speaker >= 0]).tolist():
+                    take(i, rows[speaker == i])
+        yield from done()
+
+    return grams.select("l", "gaps", "counts").mapInArrow(run, schema)
+
+
+def nearest_sums(held: tuple[list[np.ndarray], list[int]]) -> tuple[Callable, Callable]:
+    """Sums of the vectors nearest to each centroid of their language, in whole units, so that no order of adding matters."""
+    centers, first = held
+    sums: dict[int, np.ndarray] = {}
+
+    def take(i: int, rows: np.ndarray) -> None:
+        own = (rows @ centers[i].T).argmax(axis=1) if len(centers[i]) > 1 else np.zeros(len(rows), int)
+        whole = np.rint(rows * UNITS).astype(np.int32)
+        for c in np.unique(own).tolist():
+            sums[first[i] + c] = sums.get(first[i] + c, 0) + whole[own == c].sum(axis=0, dtype=np.int64)
+
+    return take, lambda: [array_rows(sums)]
+
+
+def next_starts(held: list[np.ndarray]) -> tuple[Callable, Callable]:
+    """The vector of each language whose draw, by its distance from the starts so far, comes first."""
+    import xxhash
+
+    best: dict[int, tuple[float, bytes]] = {}
+
+    def take(i: int, rows: np.ndarray) -> None:
+        far = 1 - (rows @ held[i].T).max(axis=1).astype(float)
+        draws = np.array([(xxhash.xxh64_intdigest(r.tobytes(), 42) + 0.5) / 2.0**64 for r in rows])
+        race = np.where(far > 1e-5, -np.log(draws) / np.maximum(far, 1e-5), np.inf)
+        at = int(race.argmin())
+        if np.isfinite(race[at]):
+            best[i] = min(best.get(i, (np.inf, b"")), (float(race[at]), rows[at].tobytes()))
+
+    def done() -> list[pa.RecordBatch]:
+        arrays = [pa.array(list(best), pa.int32()), pa.array([r for r, _ in best.values()], pa.float64()), pa.array([v for _, v in best.values()], pa.binary())]
+        return [pa.RecordBatch.from_arrays(arrays, ["i", "race", "v"])]
+
+    return take, done
+
+
+def near_bins(held: list[np.ndarray]) -> tuple[Callable, Callable]:
+    """How many vectors have which cosine with the nearest centroid of their language."""
+    total = np.zeros(BINS + 1, np.int64)
+
+    def take(i: int, rows: np.ndarray) -> None:
+        total[:] += np.bincount(bin_of((rows @ held[i].T).max(axis=1)), minlength=BINS + 1)
+
+    return take, lambda: [array_rows({0: total})]
+
+
+def bin_of(cosine: np.ndarray) -> np.ndarray:
+    return (np.clip(cosine, 0, 1) * BINS).astype(np.int64)
+
+
+def spherical_clusters(grams: DataFrame, languages: list[str], weights: np.ndarray, k: int, rounds: int = ROUNDS) -> list[np.ndarray]:
+    """Up to ``k`` centroids of length 1 for each language, from all its vectors; empty for one without a letter.
+
+    The first start is the mean, the others are drawn with a chance that grows with the
+    distance from those before; the draw is a hash of the vector, so the same rows always
+    give the same centroids. Only sums and starts reach the driver.
+    """
+    centers = [np.zeros((1, BUCKETS), np.float32) for _ in languages]
+
+    def summed() -> list[np.ndarray]:
+        first = np.concatenate(([0], np.cumsum([len(c) for c in centers]))).astype(int).tolist()
+        sums = array_sums(each_language(grams, languages, weights, (centers, first), ARRAY_ROWS, nearest_sums))
+        moved = [[sums.get(first[i] + c) for c in range(len(own))] for i, own in enumerate(centers)]
+        return [np.stack([unit(s.astype(float)).astype(np.float32) if s is not None else o for s, o in zip(m, own, strict=True)]) for m, own in zip(moved, centers, strict=True)]
+
+    centers = summed()
+    for _ in range(k - 1):
+        drawn = each_language(grams, languages, weights, centers, "i int, race double, v binary", next_starts)
+        rows = drawn.groupBy("i").agg(F.min(F.struct("race", "v")).alias("best")).select("i", "best.v").collect()
+        for r in rows:
+            centers[r["i"]] = np.concatenate((centers[r["i"]], np.frombuffer(bytes(r["v"]), np.float32)[None]))
     for _ in range(rounds):
-        own = (rows @ centers.T).argmax(axis=1)
-        centers = np.stack([unit(rows[own == i].mean(axis=0)) if (own == i).any() else centers[i] for i in range(len(centers))])
-    return centers
+        before, centers = centers, summed()
+        if all(np.array_equal(a, b) for a, b in zip(before, centers, strict=True)):
+            break
+    return [c[c.any(axis=1)] for c in centers]
 
 
 def calibrated(docs: DataFrame, model: LanguageModel, text: str, lang: str, least: float) -> np.ndarray:
-    """Limits of rejection from the passages of ``docs``, whose languages the model knows."""
+    """Limits of rejection from the passages of ``docs``, whose languages the model knows.
+
+    Cosines are counted in bins, so every passage has its part and no group holds more than the bins.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,56 +300,43 @@ def calibrated(docs: DataFrame, model: LanguageModel, text: str, lang: str, leas
                 for name, t in zip(part.column("l").to_pylist(), part.column("t").to_pylist(), strict=True):
                     if t and name in shared.value.languages:
                         centroid, length, cosine = shared.value.nearness(passages(t), name)
-                        arrays = [pa.array(centroid, pa.int32()), pa.array(length, pa.int32()), pa.array(cosine, pa.float64())]
-                        yield pa.RecordBatch.from_arrays(arrays, ["centroid", "length", "cosine"])
-
-    source = docs.select(F.col(f"`{lang}`").alias("l"), F.col(f"`{text}`").cast("binary").alias("t"))
-    rows = source.mapInArrow(run, "centroid int, length int, cosine double").toPandas()
-    return length_limits(rows["centroid"].to_numpy(), rows["length"].to_numpy(), rows["cosine"].to_numpy(), len(model.owners), least)
-
-
-def fit(
-    learn: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-    per_language: int = FIT_DOCUMENTS, centroids: int = CENTROIDS,
-) -> LanguageModel:
+                        arrays = [pa.array(centroid, pa.int32()), pa.array(length, pa.int32()), pa.array(bin_of(cosine), pa.int32())]
+                        yield pa.RecordBatch.from_arrays(arrays, ["centroid", "length", "bin"])
+        give_back()
+
+    small_batches(docs.sparkSession)
+    source = docs.select(F.col(f"`{lang}`").cast("string").alias("l"), F.col(f"`{text}`").cast("binary").alias("t"))
+    counts = source.mapInArrow(run, "centroid int, length int, bin int").groupBy("centroid", "length", "bin").agg(F.count(F.lit(1)).alias("n"))
+    own = stage(counts, "language-bins")
+    both = own.unionByName(own.groupBy(F.lit(-1).alias("centroid"), "length", "bin").agg(F.sum("n").alias("n")))
+    group = Window.partitionBy("centroid", "length")
+    upto = both.select("centroid", "length", "bin", F.sum("n").over(group).alias("total"), F.sum("n").over(group.orderBy("bin")).alias("upto"))
+    low = upto.where(F.col("upto") >= F.floor(REJECT_QUANTILE * (F.col("total") - 1)) + 1)
+    rows = low.groupBy("centroid", "length").agg(F.min("bin").alias("bin"), F.first("total").alias("total")).collect()
+    return length_limits({(r["centroid"], r["length"]): (r["total"], r["bin"] / BINS) for r in rows}, len(model.owners), least)
+
+
+def fit(learn: DataFrame, text: str = "text", lang: str = "lang", centroids: int = CENTROIDS) -> LanguageModel:
     """Model of the rows of ``learn`` with a language and a letter; none: a model that knows no language.
 
-    About ``per_language`` documents of each language, chosen by a hash of ``key``,
-    are clustered, and as many, others where there are, give the limits of rejection;
-    nothing but text and language is learnt.
+    Every such row has its part in the weights, the clusters and the limits of
+    rejection; nothing but text and language is learnt.
     """
-    known = learn.where(F.col(lang).isNotNull())
-    sizes = {r["l"]: r["n"] for r in known.groupBy(F.col(lang).alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    weights = gram_rarity(known, text)
-    share = F.lit(0.0)
-    for name, n in sizes.items():
-        share = F.when(F.col(lang) == name, F.lit(min(1.0, per_language / n))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 20)) / float(1 << 20)
-    sample = known.where(draw < share)
-
-    def vectors():
-        return lambda texts: {"v": [unit((gram_counts(t) * weights).astype(np.float32)).tobytes() for t in texts]}
-
-    renamed = sample.select(F.col(lang).alias("l"), F.col(text).alias("t"))
-    rows = map_texts(renamed, "t", ["l"], "v binary", vectors).orderBy("l", "v").toLocalIterator()
-    by_language: dict[str, list[np.ndarray]] = {}
-    for r in rows:
-        v = np.frombuffer(bytes(r["v"]), np.float32)
-        if v.any():
-            by_language.setdefault(r["l"], []).append(v)
-    languages = sorted(by_language)
-    centers, owners, near = [], [], []
-    for i, name in enumerate(languages):
-        own = np.stack(by_language.pop(name))
-        found = spherical_clusters(own, centroids)
-        centers.append(found)
-        owners += [i] * len(found)
-        near.append((own @ found.T).max(axis=1))
+    known = learn.where(F.col(f"`{lang}`").isNotNull())
+    grams = counted_grams(known, text, lang)
+    weights = gram_rarity(grams)
+    spoken = grams.where(F.length("gaps") > 0)
+    names = sorted(r["l"] for r in spoken.select("l").distinct().collect())
+    found = spherical_clusters(spoken, names, weights, centroids) if names else []
+    languages = [name for name, c in zip(names, found, strict=True) if len(c)]
+    centers = [c for c in found if len(c)]
     if not languages:
         return LanguageModel([], weights, np.zeros((0, BUCKETS), np.float32), np.zeros(0, int), np.zeros((0, LENGTHS)))
-    least = REJECT_SHARE * float(np.quantile(np.concatenate(near), 0.001))
-    model = LanguageModel(languages, weights, np.concatenate(centers), np.array(owners), np.full((len(owners), LENGTHS), least))
-    model.reject_below = calibrated(known.where(draw >= 1 - share), model, text, lang, least)
+    bins = array_sums(each_language(spoken, languages, weights, centers, ARRAY_ROWS, near_bins))[0]
+    least = REJECT_SHARE * int(np.searchsorted(np.cumsum(bins), np.floor(0.001 * (bins.sum() - 1)) + 1)) / BINS
+    owners = np.repeat(np.arange(len(languages)), [len(c) for c in centers])
+    model = LanguageModel(languages, weights, np.concatenate(centers), owners, np.full((len(owners), LENGTHS), least))
+    model.reject_below = calibrated(known, model, text, lang, least)
     return model
 
 

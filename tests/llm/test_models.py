@@ -178,6 +178,39 @@ def test_scores_are_those_of_the_most_toxic_window(insults):
     assert toxicity.WordScores(insults).scores(["", "..."]) == [insults.base] * 2
 
 
+def test_language_is_learnt_from_every_row(docs_of):
+    """More rows than a sample would have: weights, the one centroid and the limits are those of all of them."""
+    rng = np.random.default_rng(1)
+    words = {"en": "the river bread house walk".split(), "de": "der fluss brot haus gehen und".split()}
+    rows = [(i, " ".join(rng.choice(words[n], 4)) + f" {chr(97 + i % 26) * 2}", n) for i, n in enumerate(["en"] * 1100 + ["de"] * 150)]
+    model = language_id.fit(docs_of(rows), centroids=1)
+    counts = np.stack([language_id.gram_counts(t.encode()) for _, t, _ in rows])
+    weights = np.log((len(rows) + 1) / ((counts > 0).sum(axis=0) + 1)) + 0.05
+    assert np.allclose(model.weights, weights)
+    vectors = language_id.unit(counts * weights)
+    lang = np.array([r[2] for r in rows])
+    for i, name in enumerate(model.languages):
+        assert np.allclose(model.centroids[i], language_id.unit(vectors[lang == name].mean(axis=0)), atol=1e-5)
+    found = language_id.calibrated(docs_of(rows), model, "text", "lang", 0.0)
+    near = {name: np.concatenate([model.nearness(language_id.passages(t.encode()), name)[2] for _, t, n in rows if n == name]) for name in words}
+    lengths = np.concatenate([model.nearness(language_id.passages(t.encode()), "en")[1] for _, t, n in rows if n == "en"])
+    k = int(np.bincount(lengths).argmax())
+    limit = np.sort(near["en"][lengths == k])[int(language_id.REJECT_QUANTILE * ((lengths == k).sum() - 1))]
+    assert abs(found[model.languages.index("en"), k] - limit) <= 2 / language_id.BINS
+    assert np.array_equal(found, model.reject_below) or np.array_equal(found[found > 0], model.reject_below[found > 0])
+
+
+def test_language_clusters_are_settled(docs_of):
+    """Centroids are the means of the vectors nearest to them."""
+    rows = [(i, f"{a} {b}", "en") for i, (a, b) in enumerate((a, b) for a in CLEAN for b in CLEAN)]
+    model = language_id.fit(docs_of(rows))
+    vectors = language_id.unit((np.stack([language_id.gram_counts(t.encode()) for _, t, _ in rows]) * model.weights).astype(np.float32))
+    own = (vectors @ model.centroids.T).argmax(axis=1)
+    assert len(model.centroids) == language_id.CENTROIDS == len(set(own))
+    for c in range(len(model.centroids)):
+        assert np.allclose(language_id.unit(vectors[own == c].mean(axis=0)), model.centroids[c], atol=1e-4)
+
+
 def test_language_is_that_of_the_nearest_centroid(docs_of):
     """Cosines, centroids and limits by plain loops over n-grams."""
     texts = {"en": CLEAN, "de": ["der hund und die katze", "ein brot und milch", "das wetter ist heute gut", "wir gehen an den fluss"]}
