@@ -93,3 +93,16 @@ def test_indexed_pages_hold_no_bodies(spark, folder, monkeypatch):
     monkeypatch.setattr(reviews, "write_pages", lambda rows, path: (seen.extend(rows.columns), write(rows, path)))
     all_queries()["browse_indexed"].run(spark, folder).collect()
     assert seen and "review_body" not in seen
+
+
+def test_keys_of_staged_rows_are_short(spark, folder):
+    """Every row carries its keys through all shuffles; group tables go once the features are written."""
+    from starsift.operators.behaviour import BODY, DAY, GROUPS
+    from starsift.staging import staged_so_far
+
+    release_stages(spark)
+    kinds = dict(inputs.labelled_rows(spark, folder).dtypes)
+    assert (kinds[BODY], kinds[DAY], kinds[inputs.TEXT_HASH]) == ("binary", "int", "bigint")
+    assert inputs.labelled_rows(spark, folder).where(F.length(BODY) != 16).count() == 0
+    labels = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in staged_so_far(spark)}
+    assert {"clean", "labelled"} <= labels and not labels & set(GROUPS)
