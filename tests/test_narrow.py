@@ -106,3 +106,38 @@ def test_keys_of_staged_rows_are_short(spark, folder):
     assert inputs.labelled_rows(spark, folder).where(F.length(BODY) != 16).count() == 0
     labels = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in staged_so_far(spark)}
     assert {"clean", "labelled"} <= labels and not labels & set(GROUPS)
+
+
+def test_slices_are_all_rows(spark, folder, monkeypatch):
+    """Written slice by slice, the labelled table is the one that a single join makes."""
+    from starsift.operators.behaviour import behaviour_features
+    from starsift.operators.splits import with_split
+    from starsift.operators.weak_label import label_fraud
+
+    release_stages(spark)
+    want = with_split(label_fraud(behaviour_features(inputs.clean_rows(spark, folder))))
+    rows, slices, attach = sorted(map(tuple, want.collect()), key=str), [], inputs.attach_by_slices
+    monkeypatch.setattr(inputs, "SLICE_ROWS", 8)
+    monkeypatch.setattr(inputs, "attach_by_slices", lambda keyed, n, *names: (slices.append(n), attach(keyed, n, *names))[1])
+    got = inputs.labelled_rows(spark, folder)
+    assert slices == [len(rows) // 8 + 1] and slices[0] > 2 and got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == rows
+    batches = inputs.scored_batches(spark, folder)
+    assert sorted(r[0] for r in batches.select("review_id").collect()) == sorted(r[0] for r in got.select("review_id").collect())
+
+
+def test_shuffle_files_of_staged_tables_go(spark):
+    import time
+
+    from starsift.staging import stage
+
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    staged = stage(spark.range(1000, numPartitions=4).repartition(7, "id"), "repeated")
+    until = time.time() + 10
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before and staged.count() == 1000
