@@ -41,29 +41,41 @@ BINS, UNITS, CHUNK = 1 << 13, 1 << 20, 256
 LETTER = np.frompyfunc(lambda c: chr(c).isalpha(), 1, 1)(np.arange(0x10000)).astype(bool)
 
 
-def letters(text: bytes) -> np.ndarray:
-    """Code points of the lower-cased text, every run of other characters as one blank, blanks around."""
-    points = np.frombuffer(text.decode("utf-8", "replace").lower().encode("utf-32-le", "replace"), np.uint32)
+def folded(lowered: str) -> np.ndarray:
+    """Code points of a lower-cased text, other characters than letters as blanks."""
+    points = np.frombuffer(lowered.encode("utf-32-le", "replace"), np.uint32)
     is_letter = LETTER[np.minimum(points, 0xFFFF)]
     high = points > 0xFFFF
     if high.any():
         is_letter = np.where(high, [chr(c).isalpha() if c > 0xFFFF else False for c in points.tolist()], is_letter)
-    out = np.where(is_letter, points, 32)
-    out = np.concatenate(([32], out, [32])).astype(np.uint32)
+    return np.where(is_letter, points, 32).astype(np.uint32)
+
+
+def spaced(points: np.ndarray) -> np.ndarray:
+    """Every run of blanks as one, blanks around."""
+    out = np.concatenate(([32], points, [32])).astype(np.uint32)
     blank = out == 32
     return out[~(blank & np.concatenate(([False], blank[:-1])))]
 
 
-def gram_counts(text: bytes) -> np.ndarray:
-    """How often each bucket of n-grams occurs; all 0 without a letter."""
-    c = letters(text)
+def letters(text: bytes) -> np.ndarray:
+    """Code points of the lower-cased text, every run of other characters as one blank, blanks around."""
+    return spaced(folded(text.decode("utf-8", "replace").lower()))
+
+
+def gram_codes(c: np.ndarray) -> np.ndarray:
+    """Bucket of each n-gram of ``letters``; none without a letter."""
     if len(c) < 3:
-        return np.zeros(BUCKETS, np.int64)
+        return np.zeros(0, np.uint32)
     one = c * np.uint32(0x9E3779B1)
     two = (one[:-1] ^ c[1:]) * np.uint32(0x85EBCA6B)
     three = (two[:-1] ^ c[2:]) * np.uint32(0xC2B2AE35)
-    codes = np.concatenate((one[c != 32], two, three)) >> np.uint32(32 - BUCKET_BITS)
-    return np.bincount(codes, minlength=BUCKETS)
+    return np.concatenate((one[c != 32], two, three)) >> np.uint32(32 - BUCKET_BITS)
+
+
+def gram_counts(text: bytes) -> np.ndarray:
+    """How often each bucket of n-grams occurs; all 0 without a letter."""
+    return np.bincount(gram_codes(letters(text)), minlength=BUCKETS)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -72,23 +84,43 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 
 def length_class(counts: np.ndarray) -> np.ndarray:
-    """Binary logarithm of the number of n-grams of each row, rounded down."""
-    return np.clip(np.log2(np.maximum(counts.sum(axis=-1), 1)).astype(int), 0, LENGTHS - 1)
+    """``class_of`` the number of n-grams of each row."""
+    return class_of(counts.sum(axis=-1))
 
 
-def passages(text: bytes) -> list[bytes]:
-    """The text and a passage of each length class below its own, from places that its checksum gives."""
-    chars = text.decode("utf-8", "replace")
-    out, place = [text], zlib.crc32(text)
+def class_of(n_grams: np.ndarray) -> np.ndarray:
+    """Binary logarithm, rounded down."""
+    return np.clip(np.log2(np.maximum(n_grams, 1)).astype(int), 0, LENGTHS - 1)
+
+
+def places(text: bytes, n_chars: int) -> list[tuple[int, int]]:
+    """Start and length of a passage of each length class below the text's own, from places that its checksum gives."""
+    out, place = [], zlib.crc32(text)
     for k in range(3, LENGTHS):
         n = (3 << k) // 6  # about 3 n-grams a letter
-        if n * 2 > len(chars):
+        if n * 2 > n_chars:
             break
-        at = place % (len(chars) - n)
-        out.append(chars[at : at + n].encode("utf-8", "replace"))
+        out.append((place % (n_chars - n), n))
     return out
 
 
+def passages(text: bytes) -> list[bytes]:
+    """The text and its passages."""
+    chars = text.decode("utf-8", "replace")
+    return [text] + [chars[at : at + n].encode("utf-8", "replace") for at, n in places(text, len(chars))]
+
+
+def passage_codes(text: bytes) -> list[np.ndarray]:
+    """``gram_codes`` of all ``passages``; letters are looked up once for all of them."""
+    chars = text.decode("utf-8", "replace")
+    lowered, at_all = chars.lower(), places(text, len(chars))
+    whole = folded(lowered)
+    # A sigma is lowered by what follows it, and some letters become two.
+    alone = len(lowered) != len(chars) or "\u03a3" in chars
+    parts = [folded(chars[at : at + n].lower()) if alone else whole[at : at + n] for at, n in at_all]
+    return [gram_codes(spaced(p)) for p in [whole, *parts]]
+
+
 def length_limits(found: dict[tuple[int, int], tuple[int, float]], n_centroids: int, least: float) -> np.ndarray:
     """(centroids, lengths): least cosine that is not rejected, from texts of known language.
 
@@ -159,16 +191,53 @@ def counted_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return docs.sparkSession.read.schema("l string, gaps binary, counts binary").parquet(path)
 
 
-def dense_counts(gaps: list[bytes], counts: list[bytes]) -> np.ndarray:
-    """Rows of ``counted_grams`` as (rows, buckets)."""
-    sizes = [len(g) // 2 for g in gaps]
-    out = np.zeros((len(gaps), BUCKETS), np.float32)
-    steps = np.frombuffer(b"".join(gaps), np.uint16).astype(np.int64)
-    ends = np.cumsum(sizes)
-    run = np.cumsum(steps)
-    before = np.concatenate(([0], run))[np.concatenate(([0], ends[:-1])).astype(np.int64)] if len(gaps) else run
-    out[np.repeat(np.arange(len(gaps)), sizes), run - np.repeat(before, sizes)] = np.frombuffer(b"".join(counts), np.uint32)
-    return out
+def starts_of(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
+@dataclass
+class Vectors:
+    """Weighted counts of texts with a letter: the buckets that occur in each, row after row, and their weights."""
+
+    sizes: np.ndarray  # buckets of each row
+    buckets: np.ndarray
+    weights: np.ndarray
+
+    def scaled(self) -> np.ndarray:
+        """Weights of rows of length 1."""
+        length = np.sqrt(np.add.reduceat(self.weights.astype(float) ** 2, starts_of(self.sizes)))
+        return (self.weights / np.repeat(length, self.sizes)).astype(np.float32)
+
+    def dense(self) -> np.ndarray:
+        """Rows of length 1 with all buckets."""
+        out = np.zeros((len(self.sizes), BUCKETS), np.float32)
+        out[np.repeat(np.arange(len(self.sizes)), self.sizes), self.buckets] = self.weights
+        return unit(out)
+
+    def nearest(self, scaled: np.ndarray, speaker: np.ndarray, table: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, cosine) of the nearest centroid among those of each row's language, see ``side_by_side``."""
+        k = table.shape[1]
+        met = table.take(np.repeat(speaker * BUCKETS, self.sizes) + self.buckets, axis=0) * scaled[:, None]
+        near = np.where(np.arange(k) < known[speaker][:, None], np.add.reduceat(met, starts_of(self.sizes), axis=0), -np.inf)
+        best = near.argmax(axis=1)
+        return best, near[np.arange(len(best)), best]
+
+
+def side_by_side(centers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(languages * buckets, centroids) weights of the centroids of each language, and how many it has."""
+    known = np.array([len(c) for c in centers])
+    table = np.zeros((len(centers), BUCKETS, max(known.max(), 1)), np.float32)
+    for i, own in enumerate(centers):
+        table[i, :, : len(own)] = own.T
+    return table.reshape(-1, table.shape[2]), known
+
+
+def written_counts(gaps: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(buckets of each row, buckets, counts) of rows of ``counted_grams``."""
+    sizes = np.array([len(g) // 2 for g in gaps], np.int64)
+    run = np.cumsum(np.frombuffer(b"".join(gaps), np.uint16), dtype=np.int64)
+    before = np.concatenate(([0], run))[starts_of(sizes)]
+    return sizes, run - np.repeat(before, sizes), np.frombuffer(b"".join(counts), np.uint32)
 
 
 def gram_rarity(grams: DataFrame) -> np.ndarray:
@@ -179,7 +248,7 @@ def gram_rarity(grams: DataFrame) -> np.ndarray:
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
-                total[:-1] += np.count_nonzero(dense_counts(part.column(0).to_pylist(), part.column(1).to_pylist()), axis=0)
+                total[:-1] += np.bincount(written_counts(part.column(0).to_pylist(), [])[1], minlength=BUCKETS)
                 total[-1] += part.num_rows
         yield array_rows({0: total})
 
@@ -188,8 +257,8 @@ def gram_rarity(grams: DataFrame) -> np.ndarray:
 
 
 def each_language(grams: DataFrame, languages: list[str], weights: np.ndarray, held: object, schema: str, make: Callable) -> DataFrame:
-    """One pass over all vectors: ``make(held)`` is (take, done); ``take`` gets a language's index and vectors
-    of length 1, ``done`` returns the batches of the task. Rows without a letter are left out."""
+    """One pass over all vectors: ``make(held)`` is (take, done); ``take`` gets the language index of each row
+    and the ``Vectors``, ``done`` returns the batches of the task. Rows without a letter are left out."""
     spark = grams.sparkSession
     shared = spark.sparkContext.broadcast((languages, weights, held))
 
@@ -200,11 +269,11 @@ def each_language(grams: DataFrame, languages: list[str], weights: np.ndarray, h
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
-                gaps, counts = part.column(1).to_pylist(), part.column(2).to_pylist()
-                speaker = np.array([at_name.get(x, -1) if g else -1 for x, g in zip(part.column(0).to_pylist(), gaps, strict=True)])
-                rows = unit((dense_counts(gaps, counts) * rarity).astype(np.float32))
-                for i in np.unique(speaker[speaker >= 0]).tolist():
-                    take(i, rows[speaker == i])
+                rows = [r for r in zip(*(c.to_pylist() for c in part.columns), strict=True) if r[1] and r[0] in at_name]
+                if rows:
+                    sizes, buckets, counts = written_counts([r[1] for r in rows], [r[2] for r in rows])
+                    weighted = (counts.astype(np.float32) * rarity[buckets]).astype(np.float32)
+                    take(np.array([at_name[r[0]] for r in rows]), Vectors(sizes, buckets, weighted))
         yield from done()
 
     return grams.select("l", "gaps", "counts").mapInArrow(run, schema)
@@ -213,13 +282,17 @@ def each_language(grams: DataFrame, languages: list[str], weights: np.ndarray, h
 def nearest_sums(held: tuple[list[np.ndarray], list[int]]) -> tuple[Callable, Callable]:
     """Sums of the vectors nearest to each centroid of their language, in whole units, so that no order of adding matters."""
     centers, first = held
+    first, (table, known) = np.array(first), side_by_side(centers)
     sums: dict[int, np.ndarray] = {}
 
-    def take(i: int, rows: np.ndarray) -> None:
-        own = (rows @ centers[i].T).argmax(axis=1) if len(centers[i]) > 1 else np.zeros(len(rows), int)
-        whole = np.rint(rows * UNITS).astype(np.int32)
-        for c in np.unique(own).tolist():
-            sums[first[i] + c] = sums.get(first[i] + c, 0) + whole[own == c].sum(axis=0, dtype=np.int64)
+    def take(speaker: np.ndarray, rows: Vectors) -> None:
+        scaled = rows.scaled()
+        own = first[speaker] + rows.nearest(scaled, speaker, table, known)[0]
+        met, at = np.unique(own, return_inverse=True)
+        spots = np.repeat(at * BUCKETS, rows.sizes) + rows.buckets
+        added = np.bincount(spots, np.rint(scaled * UNITS), len(met) * BUCKETS).reshape(-1, BUCKETS).astype(np.int64)
+        for c, whole in zip(met.tolist(), added, strict=True):
+            sums[c] = sums.get(c, 0) + whole
 
     return take, lambda: [array_rows(sums)]
 
@@ -230,7 +303,12 @@ def next_starts(held: list[np.ndarray]) -> tuple[Callable, Callable]:
 
     best: dict[int, tuple[float, bytes]] = {}
 
-    def take(i: int, rows: np.ndarray) -> None:
+    def take(speaker: np.ndarray, vectors: Vectors) -> None:
+        dense = vectors.dense()
+        for i in np.unique(speaker).tolist():
+            race_of(i, dense[speaker == i])
+
+    def race_of(i: int, rows: np.ndarray) -> None:
         far = 1 - (rows @ held[i].T).max(axis=1).astype(float)
         draws = np.array([(xxhash.xxh64_intdigest(r.tobytes(), 42) + 0.5) / 2.0**64 for r in rows])
         race = np.where(far > 1e-5, -np.log(draws) / np.maximum(far, 1e-5), np.inf)
@@ -247,10 +325,10 @@ def next_starts(held: list[np.ndarray]) -> tuple[Callable, Callable]:
 
 def near_bins(held: list[np.ndarray]) -> tuple[Callable, Callable]:
     """How many vectors have which cosine with the nearest centroid of their language."""
-    total = np.zeros(BINS + 1, np.int64)
+    total, (table, known) = np.zeros(BINS + 1, np.int64), side_by_side(held)
 
-    def take(i: int, rows: np.ndarray) -> None:
-        total[:] += np.bincount(bin_of((rows @ held[i].T).max(axis=1)), minlength=BINS + 1)
+    def take(speaker: np.ndarray, rows: Vectors) -> None:
+        total[:] += np.bincount(bin_of(rows.nearest(rows.scaled(), speaker, table, known)[1]), minlength=BINS + 1)
 
     return take, lambda: [array_rows({0: total})]
 
@@ -295,18 +373,44 @@ def calibrated(docs: DataFrame, model: LanguageModel, text: str, lang: str, leas
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = shared.value
+        at_name = {name: i for i, name in enumerate(told.languages)}
+        owned = [np.flatnonzero(told.owners == i) for i in range(len(at_name))]
+        table, known = side_by_side([told.centroids[own] for own in owned])
+        first = np.array([own[0] if len(own) else 0 for own in owned])
+
+        def bins_of(speaker: list[int], codes: list[np.ndarray]) -> np.ndarray:
+            """(centroid, length class, bin) of passages, as one number each."""
+            of = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+            n = np.bincount(of * BUCKETS + np.concatenate(codes), minlength=len(codes) * BUCKETS)
+            spots = np.flatnonzero(n)
+            sizes, buckets = np.bincount(spots // BUCKETS, minlength=len(codes)), spots % BUCKETS
+            rows, who = Vectors(sizes, buckets, (n[spots] * told.weights[buckets]).astype(np.float32)), np.array(speaker)
+            place, cosine = rows.nearest(rows.scaled(), who, table, known)
+            return ((first[who] + place) * LENGTHS + class_of(np.array([len(c) for c in codes]))) * (BINS + 1) + bin_of(cosine)
+
         for batch in batches:
+            found, speaker, codes = [np.zeros(0, np.int64)], [], []
             for part in slices(batch, "t"):
                 for name, t in zip(part.column("l").to_pylist(), part.column("t").to_pylist(), strict=True):
-                    if t and name in shared.value.languages:
-                        centroid, length, cosine = shared.value.nearness(passages(t), name)
-                        arrays = [pa.array(centroid, pa.int32()), pa.array(length, pa.int32()), pa.array(bin_of(cosine), pa.int32())]
-                        yield pa.RecordBatch.from_arrays(arrays, ["centroid", "length", "bin"])
+                    if t and name in at_name:
+                        own = [c for c in passage_codes(t) if len(c)]
+                        speaker, codes = speaker + [at_name[name]] * len(own), codes + own
+                    if len(codes) >= CHUNK // 4:
+                        found.append(bins_of(speaker, codes))
+                        speaker, codes = [], []
+            if codes:
+                found.append(bins_of(speaker, codes))
+            keys, n = np.unique(np.concatenate(found), return_counts=True)
+            group, low = keys // (BINS + 1), keys % (BINS + 1)
+            arrays = [pa.array(group // LENGTHS, pa.int32()), pa.array(group % LENGTHS, pa.int32()), pa.array(low, pa.int32()), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["centroid", "length", "bin", "n"])
         give_back()
 
     small_batches(docs.sparkSession)
     source = docs.select(F.col(f"`{lang}`").cast("string").alias("l"), F.col(f"`{text}`").cast("binary").alias("t"))
-    counts = source.mapInArrow(run, "centroid int, length int, bin int").groupBy("centroid", "length", "bin").agg(F.count(F.lit(1)).alias("n"))
+    told = source.mapInArrow(run, "centroid int, length int, bin int, n long")
+    counts = told.groupBy("centroid", "length", "bin").agg(F.sum("n").alias("n"))
     own = stage(counts, "language-bins")
     both = own.unionByName(own.groupBy(F.lit(-1).alias("centroid"), "length", "bin").agg(F.sum("n").alias("n")))
     group = Window.partitionBy("centroid", "length")

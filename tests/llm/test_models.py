@@ -241,3 +241,21 @@ def test_language_is_that_of_the_nearest_centroid(docs_of):
         name, score, rejected = (x[0] for x in model.predict([text.encode()]))
         assert name == model.languages[model.owners[best]] and score == pytest.approx(cosines[best], abs=1e-5)
         assert rejected == (cosines[best] < limit)
+
+
+def test_passages_are_counted_from_one_look_at_the_letters():
+    """Also where lower-casing depends on the neighbours or lengthens the text; cosines are those of dense rows."""
+    texts = ["Plain words, 12 of them -- and more. " * 40, "ΟΔΟΣ ΟΔΟΣ, σας ΣΑΣ " * 30, "İstanbul İzmir çok güzel " * 30, "𝒜bc déf 😀 " * 50, "a", "12", ""]
+    for text in (t.encode() for t in texts):
+        got, want = language_id.passage_codes(text), language_id.passages(text)
+        assert len(got) == len(want) == len(language_id.places(text, len(text.decode()))) + 1
+        for codes, passage in zip(got, want, strict=True):
+            assert (np.bincount(codes, minlength=language_id.BUCKETS) == language_id.gram_counts(passage)).all()
+    counts = np.stack([language_id.gram_counts(t.encode()) for t in texts[:4]])
+    rows, at = np.nonzero(counts)
+    vectors = language_id.Vectors(np.bincount(rows), at, counts[rows, at].astype(np.float32))
+    dense = language_id.unit(counts.astype(np.float32))
+    assert np.array_equal(vectors.dense(), dense)
+    centers = [dense[:1], dense[1:4]]
+    place, cosine = vectors.nearest(vectors.scaled(), np.array([0, 1, 1, 0]), *language_id.side_by_side(centers))
+    assert place.tolist() == [0, 0, 1, 0] and np.allclose(cosine, [1, 1, 1, dense[3] @ dense[0]], atol=1e-5)
