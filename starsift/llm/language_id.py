@@ -203,16 +203,19 @@ class Vectors:
     buckets: np.ndarray
     weights: np.ndarray
 
-    def scaled(self) -> np.ndarray:
-        """Weights of rows of length 1."""
-        length = np.sqrt(np.add.reduceat(self.weights.astype(float) ** 2, starts_of(self.sizes)))
-        return (self.weights / np.repeat(length, self.sizes)).astype(np.float32)
+    def spread(self) -> np.ndarray:
+        """Rows with all buckets, as weighted."""
+        out = np.zeros((len(self.sizes), BUCKETS), np.float32)
+        out[np.repeat(np.arange(len(self.sizes)), self.sizes), self.buckets] = self.weights
+        return out
 
     def dense(self) -> np.ndarray:
         """Rows of length 1 with all buckets."""
-        out = np.zeros((len(self.sizes), BUCKETS), np.float32)
-        out[np.repeat(np.arange(len(self.sizes)), self.sizes), self.buckets] = self.weights
-        return unit(out)
+        return unit(self.spread())
+
+    def scaled(self) -> np.ndarray:
+        """Weights of rows of length 1; lengths are those of whole rows, to the last digit."""
+        return self.weights / np.repeat(np.linalg.norm(self.spread(), axis=-1), self.sizes)
 
     def nearest(self, scaled: np.ndarray, speaker: np.ndarray, table: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, cosine) of the nearest centroid among those of each row's language, see ``side_by_side``."""
